@@ -4,21 +4,23 @@
    Documents with equal sets are one class, stood for by its smallest id, so
    copies cost one aggregation however many there are.
 2. Class representatives get a MinHash signature; equal bands make candidates.
-   A bucket of n gives n - 1 pairs with its smallest member, not n * n.
-3. Candidates are verified sequentially: signature batches are compared, and a
-   pair is dropped as soon as the posterior probability (uniform prior) that its
-   similarity reaches the threshold falls under `miss`.
-4. Survivors are verified exactly on the full shingle sets.
-5. Links give components.  A bucket whose members are still in different
-   components has pairs that were never compared; all pairs across components are
-   then compared too, so that a bucket's smallest member is no bottleneck and no
-   link between different texts is lost.  Within one component nothing is left to
-   find, so a large group of near copies stays linear.
+3. A bucket is compared in blocks of at most BLOCK members.  Signature batches are
+   compared, and a pair is dropped as soon as the posterior probability (uniform
+   prior) that its similarity reaches the threshold falls under `miss`.  A unit of
+   work hands on a spanning forest of the surviving pairs, not the pairs.
+4. The forests' components are families.  A family is compared in blocks too, now
+   with the full sets: pairs that share a band and survive the sequential test are
+   verified exactly, unless they are already linked.  Each unit hands on a forest
+   of links.
+5. The links' components are the result.
+
+So work grows with the pairs within a family, but rows, shuffles and any task's
+share do not, and no candidate pair is left out.
 
 Null, empty or blank texts have no shingles and link with nothing.  A text with
 fewer words than the shingle width is one shingle.  Repeated rows of one doc_id
-with equal texts are one document.  Extra columns are ignored; an empty table
-gives no rows.
+are taken as copies under one id.  Extra columns are ignored; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -38,6 +40,10 @@ BANDS, ROWS = 24, 5
 SEED = 0x51ED270B
 #: Signature values compared before the next look at the posterior.
 STEP = 15
+#: Members of a bucket, and documents of a family, in a block.
+BLOCK, SET_BLOCK = 512, 128
+#: Most cells of a membership matrix; beyond, pairs are merged one by one.
+CELLS = 16_000_000
 #: Posterior probability of reaching the threshold below which a pair is dropped.
 MISS = 1e-5
 
@@ -103,50 +109,169 @@ def explode_bands(classes: DataFrame) -> DataFrame:
     return classes.select("id", F.explode(bands).alias("x")).select("x.band", "x.bucket", "id")
 
 
-def bayes(pairs: DataFrame, sigs: DataFrame, threshold: float, miss: float) -> DataFrame:
-    """The pairs (a, b) whose signatures pass the sequential test."""
+def survivors(sigs: np.ndarray, i: np.ndarray, j: np.ndarray, least: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in the pair list (i, j) that pass the sequential test, and their matches."""
+    alive, got = np.arange(len(i)), np.zeros(len(i), np.int64)
+    for at, need in enumerate(least):
+        span = slice(at * STEP, (at + 1) * STEP)
+        got = got + (sigs[i[alive], span] == sigs[j[alive], span]).sum(axis=1)
+        ok = got >= need
+        alive, got = alive[ok], got[ok]
+    return alive, got
+
+
+class Forest:
+    """Joins numbers; says whether a join was new."""
+
+    def __init__(self, n: int):
+        self.root = list(range(n))
+
+    def find(self, x: int) -> int:
+        root = self.root
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        a, b = self.find(x), self.find(y)
+        self.root[max(a, b)] = min(a, b)
+        return a != b
+
+
+def pairs_of_units(starts: np.ndarray, ends: np.ndarray, blocks: np.ndarray, crossed: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs within each unit, some 400,000 at a time; of a unit of two blocks only those across."""
+    out_i, out_j, held = [], [], 0
+    for s, e, cross in zip(starts.tolist(), ends.tolist(), crossed.tolist()):
+        n = e - s
+        if n == 2:
+            i, j = np.array([s]), np.array([s + 1])
+        else:
+            i, j = np.triu_indices(n, 1)
+            i, j = i + s, j + s
+        if cross:
+            keep = blocks[i] != blocks[j]
+            i, j = i[keep], j[keep]
+        out_i.append(i)
+        out_j.append(j)
+        held += len(i)
+        if held > 400_000:
+            yield np.concatenate(out_i), np.concatenate(out_j)
+            out_i, out_j, held = [], [], 0
+    if out_i:
+        yield np.concatenate(out_i), np.concatenate(out_j)
+
+
+def whole_units(batches: Iterator[pd.DataFrame], keys: list[str], rows: int = 4000) -> Iterator[pd.DataFrame]:
+    """Sorted rows regrouped so that no unit is cut; frames of some `rows` rows or one unit."""
+    held: list[pd.DataFrame] = []
+    for b in batches:
+        if not len(b):
+            continue
+        k = b[keys].to_numpy()
+        cut = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
+        if held and (held[-1][keys].to_numpy()[-1] != k[0]).any():
+            cut = np.concatenate([[0], cut])
+        if len(cut) and sum(map(len, held)) + cut[-1] >= rows or len(cut) and sum(map(len, held)) >= rows:
+            held.append(b.iloc[: cut[-1]])
+            yield pd.concat(held, ignore_index=True)
+            held = [b.iloc[cut[-1] :]]
+        else:
+            held.append(b)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def in_units(df: DataFrame, group: list[str], block: int, payload: list[str]) -> DataFrame:
+    """Each group cut to blocks; a unit is a pair of blocks.  Dealt by unit and sorted."""
+    sizes = df.groupBy(*group).agg(F.count("*").alias("members")).where("members > 1")
+    cut = df.join(sizes, group).withColumn("blocks", F.ceil(F.col("members") / block).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = cut.select(*group, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", *payload)
+    keys = [*group, "lo", "hi"]
+    return cut.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def unit_bounds(p: pd.DataFrame, keys: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    k = p[keys].to_numpy()
+    starts = np.concatenate([[0], np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1])
+    ends = np.append(starts[1:], len(p))
+    return starts, ends, (p["lo"] != p["hi"]).to_numpy()[starts]
+
+
+def likely(members: DataFrame, classes: DataFrame, threshold: float, miss: float) -> DataFrame:
+    """A forest (a, b) of pairs that share a bucket and pass the sequential test."""
     least = least_matches(BANDS * ROWS, STEP, threshold, miss)
-    left = sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"), F.col("n").alias("n_a"))
-    right = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"), F.col("n").alias("n_b"))
-    # sets whose sizes differ too much cannot reach the threshold
-    joined = pairs.join(left, "a").join(right, "b").where((F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b") - 1e-9))
+    keys = ["band", "bucket", "lo", "hi"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in batches:
-            x = np.frombuffer(b"".join(p["sig_a"]), np.uint32).reshape(len(p), -1)
-            y = np.frombuffer(b"".join(p["sig_b"]), np.uint32).reshape(len(p), -1)
-            alive, got = np.arange(len(p)), np.zeros(len(p), int)
-            for i, need in enumerate(least):
-                span = slice(i * STEP, (i + 1) * STEP)
-                got = got + (x[alive, span] == y[alive, span]).sum(axis=1)
-                ok = got >= need
-                alive, got = alive[ok], got[ok]
-                if not len(alive):
-                    break
-            if len(alive):
-                yield p.iloc[alive][["a", "b"]]
-
-    return joined.select("a", "b", "sig_a", "sig_b").mapInPandas(run, "a long, b long")
-
-
-def exact(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs with 100 * intersection >= percent * union of the full sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = shingle_rows(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width, True)
-    left = sets.select(F.col("doc_id").alias("a"), F.col("value").alias("set_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("value").alias("set_b"))
+        for p in whole_units(batches, keys):
+            sigs = np.frombuffer(b"".join(p["sig"]), np.uint32).reshape(len(p), -1)
+            n, ids = p["n"].to_numpy(), p["id"].to_numpy()
+            number = np.unique(ids, return_inverse=True)[1]
+            forest, a, b = Forest(len(p)), [], []
+            for i, j in pairs_of_units(*unit_bounds(p, keys)[:2], p["block"].to_numpy(), unit_bounds(p, keys)[2]):
+                near = np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9
+                i, j = i[near], j[near]
+                alive, _ = survivors(sigs, i, j, least)
+                for x, y in zip(i[alive].tolist(), j[alive].tolist()):
+                    if forest.join(int(number[x]), int(number[y])):
+                        a.append(ids[x])
+                        b.append(ids[y])
+            yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
+
+    # rows get their signatures before they are dealt to units
+    whole = members.join(classes.select("id", "sig", "n"), "id")
+    return in_units(whole, ["band", "bucket"], BLOCK, ["sig", "n"]).mapInPandas(run, "a long, b long")
+
+
+def common_sizes(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(x, y, size of the intersection) for the pairs, lazily."""
+    if len(i) > 8:
+        values, at = np.unique(np.concatenate(sets), return_inverse=True)
+        if len(values) * len(sets) <= CELLS:
+            m = np.zeros((len(sets), len(values)), np.float32)
+            m[np.repeat(np.arange(len(sets)), [len(s) for s in sets]), at] = 1
+            common = m @ m.T
+            yield from zip(i.tolist(), j.tolist(), common[i, j].astype(int).tolist())
+            return
+    for x, y in zip(i.tolist(), j.tolist()):
+        yield x, y, len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+
+
+def verified(families: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int, miss: float) -> DataFrame:
+    """A forest (a, b) of pairs with 100 * intersection >= percent * union of the full sets."""
+    least = least_matches(BANDS * ROWS, STEP, percent / 100, miss)
+    keys = ["family", "lo", "hi"]
+    named = families.select("id", F.col("component").alias("family"))
+    ids = named.select(F.col("id").alias("doc_id"))
+    sets = shingle_rows(docs.join(ids, "doc_id", "left_semi"), width, True).select(F.col("doc_id").alias("id"), F.col("value").alias("set"), "n_shingles")
+    # a repeated doc_id stands for the row whose signature stands for the class
+    sets = sets.join(classes.select("id", "sig", "n"), "id").where("n = n_shingles")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in batches:
-            ok = []
-            for s, t in zip(p["set_a"], p["set_b"]):
-                x, y = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                ok.append(100 * common >= percent * (len(x) + len(y) - common))
-            if any(ok):
-                yield p[ok][["a", "b"]]
+        for p in whole_units(batches, keys, 200):
+            sigs = np.frombuffer(b"".join(p["sig"]), np.uint32).reshape(len(p), -1)
+            bands = sigs.reshape(len(p), BANDS, ROWS)
+            ids, blocks = p["id"].to_numpy(), p["block"].to_numpy()
+            sets = [np.frombuffer(s, np.uint64) for s in p["set"]]
+            n = p["n"].to_numpy()
+            a, b = [], []
+            for s, e, cross in zip(*unit_bounds(p, keys)):
+                forest = Forest(e - s)
+                for i, j in pairs_of_units(np.array([0]), np.array([e - s]), blocks[s:e], np.array([cross])):
+                    alive, got = survivors(sigs[s:e], i, j, least)
+                    i, j = i[alive], j[alive]
+                    shares = np.concatenate([(bands[s:e][i[k : k + 4096]] == bands[s:e][j[k : k + 4096]]).all(axis=2).any(axis=1) for k in range(0, len(i), 4096)] or [np.zeros(0, bool)])
+                    order = np.argsort(-got[shares], kind="stable")  # the likeliest first
+                    i, j = i[shares][order], j[shares][order]
+                    for x, y, common in common_sizes(sets[s:e], i, j):
+                        if 100 * common >= percent * (n[s + x] + n[s + y] - common) and forest.join(x, y):
+                            a.append(ids[s + x])
+                            b.append(ids[s + y])
+            yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInPandas(run, "a long, b long")
+    return in_units(sets.join(named, "id"), ["family"], SET_BLOCK, ["set", "sig", "n"]).mapInPandas(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
@@ -159,30 +284,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
         signed_docs.where("n_shingles > 0").groupBy("set_key").agg(F.min(F.struct("doc_id", "value", "n_shingles")).alias("x")).select("set_key", F.col("x.doc_id").alias("id"), F.col("x.value").alias("sig"), F.col("x.n_shingles").alias("n")),
         "classes",
     )
-    # buckets with one member are most of all: they go before anything is joined
+    # buckets with one member are most of all: they go before signatures are joined
     buckets = explode_bands(classes)
-    leaders = buckets.groupBy("band", "bucket").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").drop("z")
-    members = stored(buckets.join(leaders, ["band", "bucket"]).select("band", "bucket", "a", F.col("id").alias("b")), "members")
-    first = members.where("a < b").select("a", "b").distinct()
-    links = stored(exact(stored(bayes(first, classes, percent / 100, miss), "likely"), docs, width, percent), "links")
-    labels = components(links)
-    # members of one bucket in different components: compare across components
-    named = members.join(labels.withColumnRenamed("id", "b"), "b", "left").select("band", "bucket", F.col("b").alias("id"), F.coalesce("component", "b").alias("c"))
-    split = named.groupBy("band", "bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-    # the leader's own component is compared with the others, and those with each other
-    open_members = named.join(split, ["band", "bucket"])
-    rest = open_members.where("c <> lo").select("band", "bucket", "id", "c")
-    cross = (
-        rest.withColumnsRenamed({"id": "p", "c": "cp"})
-        .join(open_members.select("band", "bucket", F.col("id").alias("q"), F.col("c").alias("cq")), ["band", "bucket"])
-        .where("cq < cp")
-        .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    more = stored(exact(stored(bayes(cross, classes, percent / 100, miss), "likely"), docs, width, percent), "links")
-    if more.take(1):
-        labels = components(links.union(more))
+    shared = buckets.groupBy("band", "bucket").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("first", "last")
+    members = stored(buckets.join(shared, ["band", "bucket"]), "members")
+    families = components(stored(likely(members, classes, percent / 100, miss), "likely"))
+    labels = components(stored(verified(families, docs, classes, width, percent, miss), "links"))
     joined = classes.join(labels, "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
     return (
         signed_docs.select("doc_id", "n_shingles", "set_key")
