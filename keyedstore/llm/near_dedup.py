@@ -7,11 +7,10 @@
 3. A bucket is compared in blocks of at most BLOCK members.  Signature batches are
    compared, and a pair is dropped as soon as the posterior probability (uniform
    prior) that its similarity reaches the threshold falls under `miss`.  A unit of
-   work hands on a spanning forest of the surviving pairs, not the pairs.
-4. The forests' components are families.  A family is compared in blocks too, now
+   work hands on which members hang together by surviving pairs, not the pairs.
+4. The components are families.  A family is compared in blocks too, now
    with the full sets: pairs that share a band and survive the sequential test are
-   verified exactly, unless they are already linked.  Each unit hands on a forest
-   of links.
+   verified exactly.  Each unit hands on which documents hang together by links.
 5. The links' components are the result.
 
 So work grows with the pairs within a family, but rows, shuffles and any task's
@@ -138,6 +137,12 @@ class Forest:
         self.root[max(a, b)] = min(a, b)
         return a != b
 
+    def stars(self, names: np.ndarray) -> pd.DataFrame:
+        """(a, b): each name with the first of its tree, where that is another."""
+        roots = np.array([self.find(i) for i in range(len(names))], int)
+        tied = roots != np.arange(len(names))
+        return pd.DataFrame({"a": names[roots[tied]], "b": names[tied]}, dtype="int64")
+
 
 def pairs_of_units(starts: np.ndarray, ends: np.ndarray, blocks: np.ndarray, crossed: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs within each unit, some 400,000 at a time; of a unit of two blocks only those across."""
@@ -208,17 +213,15 @@ def likely(members: DataFrame, classes: DataFrame, threshold: float, miss: float
         for p in whole_units(batches, keys):
             sigs = np.frombuffer(b"".join(p["sig"]), np.uint32).reshape(len(p), -1)
             n, ids = p["n"].to_numpy(), p["id"].to_numpy()
-            number = np.unique(ids, return_inverse=True)[1]
-            forest, a, b = Forest(len(p)), [], []
+            names, number = np.unique(ids, return_inverse=True)
+            forest = Forest(len(p))
             for i, j in pairs_of_units(*unit_bounds(p, keys)[:2], p["block"].to_numpy(), unit_bounds(p, keys)[2]):
                 near = np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9
                 i, j = i[near], j[near]
                 alive, _ = survivors(sigs, i, j, least)
-                for x, y in zip(i[alive].tolist(), j[alive].tolist()):
-                    if forest.join(int(number[x]), int(number[y])):
-                        a.append(ids[x])
-                        b.append(ids[y])
-            yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
+                for x, y in zip(number[i[alive]].tolist(), number[j[alive]].tolist()):
+                    forest.join(x, y)
+            yield forest.stars(names)
 
     # rows get their signatures before they are dealt to units
     whole = members.join(classes.select("id", "sig", "n"), "id")
@@ -256,9 +259,10 @@ def verified(families: DataFrame, docs: DataFrame, classes: DataFrame, width: in
             ids, blocks = p["id"].to_numpy(), p["block"].to_numpy()
             sets = [np.frombuffer(s, np.uint64) for s in p["set"]]
             n = p["n"].to_numpy()
-            a, b = [], []
+            names, number = np.unique(ids, return_inverse=True)
+            forest = Forest(len(names))
             for s, e, cross in zip(*unit_bounds(p, keys)):
-                forest = Forest(e - s)
+                own = number[s:e].tolist()
                 for i, j in pairs_of_units(np.array([0]), np.array([e - s]), blocks[s:e], np.array([cross])):
                     alive, got = survivors(sigs[s:e], i, j, least)
                     i, j = i[alive], j[alive]
@@ -266,10 +270,9 @@ def verified(families: DataFrame, docs: DataFrame, classes: DataFrame, width: in
                     order = np.argsort(-got[shares], kind="stable")  # the likeliest first
                     i, j = i[shares][order], j[shares][order]
                     for x, y, common in common_sizes(sets[s:e], i, j):
-                        if 100 * common >= percent * (n[s + x] + n[s + y] - common) and forest.join(x, y):
-                            a.append(ids[s + x])
-                            b.append(ids[s + y])
-            yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
+                        if 100 * common >= percent * (n[s + x] + n[s + y] - common):
+                            forest.join(own[x], own[y])
+            yield forest.stars(names)
 
     return in_units(sets.join(named, "id"), ["family"], SET_BLOCK, ["set", "sig", "n"]).mapInPandas(run, "a long, b long")
 
@@ -288,8 +291,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     buckets = explode_bands(classes)
     shared = buckets.groupBy("band", "bucket").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("first", "last")
     members = stored(buckets.join(shared, ["band", "bucket"]), "members")
-    families = components(stored(likely(members, classes, percent / 100, miss), "likely"))
-    labels = components(stored(verified(families, docs, classes, width, percent, miss), "links"))
+    families = components(stored(likely(members, classes, percent / 100, miss).distinct(), "likely"))
+    labels = components(stored(verified(families, docs, classes, width, percent, miss).distinct(), "links"))
     joined = classes.join(labels, "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
     return (
         signed_docs.select("doc_id", "n_shingles", "set_key")
