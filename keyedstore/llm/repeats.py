@@ -3,6 +3,7 @@
 A byte goes if a string of LENGTH bytes that covers it also starts in a document
 with a smaller id.
 
+0. Copies.  Equal texts are one row, under the smallest id; the others go whole.
 1. Deal.  Every string of LENGTH bytes has a minimizer: the 16 bytes in it with the
    least hash.  Equal strings have equal minimizers, so suffixes are dealt to buckets
    by the minimizer of their first LENGTH bytes.  A run of neighbouring strings with
@@ -24,11 +25,11 @@ whole and remove nothing.  Extra columns are ignored; an empty table gives no ro
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -217,10 +218,11 @@ def suspects(docs: DataFrame, bits: int, length: int) -> DataFrame:
         batch = TaskContext.get().partitionId() << 32
         for b in batches:
             out: dict[int, list[np.ndarray]] = {}
+            same = b["row"].to_numpy().astype(np.int64).astype("<u4")  # equal texts, equal numbers
             for own, _, _, key in runs(as_bytes(b["text"].tolist()), length):
                 bucket = key & np.uint64(small_mask)
                 order = np.argsort(bucket, kind="stable")
-                bucket, rest, own = bucket[order], (key[order] >> np.uint64(bits)).astype("<u4"), own[order].astype("<u2")
+                bucket, rest, own = bucket[order], (key[order] >> np.uint64(bits)).astype("<u4"), same[own[order]]
                 cut = np.append(np.flatnonzero(np.diff(bucket)) + 1, len(bucket))
                 at = 0
                 for c in cut.tolist():
@@ -239,13 +241,12 @@ def suspects(docs: DataFrame, bits: int, length: int) -> DataFrame:
                 if key < 0:
                     yield q
                     continue
-                counts = np.array([len(v) // 6 for v in q["data"]])
+                counts = np.array([len(v) // 8 for v in q["data"]])
                 rest = np.concatenate([np.frombuffer(v, "<u4", n) for v, n in zip(q["data"], counts.tolist())])
-                own = np.concatenate([np.frombuffer(v, "<u2", n, 4 * n) for v, n in zip(q["data"], counts.tolist())])
+                own = np.concatenate([np.frombuffer(v, "<u4", n, 4 * n) for v, n in zip(q["data"], counts.tolist())])
                 whose = np.repeat(np.arange(len(q)), counts)
-                who = whose.astype(np.int64) << 16 | own
-                order = np.lexsort((who, rest))
-                r, w = rest[order], who[order]
+                order = np.argsort(rest.astype(np.uint64) << np.uint64(32) | own, kind="stable")
+                r, w = rest[order], own[order]
                 heads = np.concatenate([[0], np.flatnonzero(np.diff(r)) + 1])
                 tails = np.append(heads[1:], len(r)) - 1
                 keep = np.repeat(w[heads] != w[tails], tails - heads + 1)
@@ -265,10 +266,13 @@ def suspects(docs: DataFrame, bits: int, length: int) -> DataFrame:
                     continue
                 keys, own = [], []
                 for key, v in zip(q["key"].tolist(), q["data"]):
-                    n = len(v) // 6
+                    n = len(v) // 8
                     keys.append(np.frombuffer(v, "<u4", n).astype(np.uint64) << np.uint64(bits) | np.uint64(key))
-                    own.append(np.frombuffer(v, "<u2", n, 4 * n))
+                    own.append(np.frombuffer(v, "<u4", n, 4 * n))
                 keys, own = np.concatenate(keys), np.concatenate(own)
+                short = rows.astype("<u4")
+                by_short = np.argsort(short, kind="stable")
+                own = by_short[np.searchsorted(short[by_short], own)]
                 order = np.lexsort((keys, own))
                 keys, own = keys[order], own[order]
                 cut = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1])
@@ -280,14 +284,26 @@ def suspects(docs: DataFrame, bits: int, length: int) -> DataFrame:
     return again.mapInPandas(gather, "row long, keys binary")
 
 
-def stretches(docs: DataFrame, bits: int, length: int) -> DataFrame:
-    """row, start, end: byte stretches that go; they may overlap."""
-    flagged = stored(suspects(docs, bits, length), "suspects").groupBy("row").agg(F.first("keys").alias("keys"))
+def squeezed(docs: DataFrame) -> DataFrame:
+    """The same rows with their texts as compressed bytes, for the way to another task."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pack = zstandard.ZstdCompressor(1).compress
+        for b in batches:
+            yield b.assign(text=[pack(t) for t in as_bytes(b["text"].tolist())])
+
+    return docs.select("doc_id", "row", "text").mapInPandas(run, "doc_id long, row long, text binary")
+
+
+def stretches(docs: DataFrame, firsts: DataFrame, bits: int, length: int) -> DataFrame:
+    """row, start, end: byte stretches that go from the first of equal texts; they may overlap."""
+    flagged = stored(suspects(docs, bits, length), "suspects").groupBy("row").agg(F.first("keys").alias("keys")).join(firsts, "row")
     mask = np.uint64((1 << bits) - 1)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts = as_bytes(b["text"].tolist())
+            pack, unpack = zstandard.ZstdCompressor(1).compress, zstandard.ZstdDecompressor().decompress
+            texts = list(map(unpack, b["text"]))
             rows, ids = b["row"].to_numpy(), b["doc_id"].to_numpy().astype(np.int64)
             known = [np.frombuffer(k, np.uint64) for k in b["keys"]]
             out: dict[int, list] = {}
@@ -299,17 +315,18 @@ def stretches(docs: DataFrame, bits: int, length: int) -> DataFrame:
                         s, e = int(start[i]), int(start[i] + n[i]) + length - 1
                         out.setdefault(int(key[i] & mask), []).append(((int(key[i]), int(ids[o]), int(rows[o]), s, e - s), texts[o][s:e]))
                     at = c
-            meta = [zlib.compress(np.array([m for m, _ in v], META).tobytes(), 1) for v in out.values()]
-            yield pd.DataFrame({"key": list(out), "meta": meta, "text": [zlib.compress(b"".join(t for _, t in v), 1) for v in out.values()]})
+            meta = [pack(np.array([m for m, _ in v], META).tobytes()) for v in out.values()]
+            yield pd.DataFrame({"key": list(out), "meta": meta, "text": [pack(b"".join(t for _, t in v)) for v in out.values()]})
 
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for p in whole_units(batches, ["key"], 1):
             for _, q in p.groupby("key"):
-                meta = np.concatenate([np.frombuffer(zlib.decompress(m), META) for m in q["meta"]])
-                got = list(lost(meta, b"".join(map(zlib.decompress, q["text"])), length))
+                meta = np.concatenate([np.frombuffer(unpack(m), META) for m in q["meta"]])
+                got = list(lost(meta, b"".join(map(unpack, q["text"])), length))
                 yield pd.DataFrame(got, columns=["row", "start", "end"])
 
-    pieces = docs.join(flagged, "row").select("row", "doc_id", "text", "keys").mapInPandas(cut, "key long, meta binary, text binary")
+    pieces = squeezed(docs).join(flagged, "row").where("doc_id = first").select("row", "doc_id", "text", "keys").mapInPandas(cut, "key long, meta binary, text binary")
     return pieces.repartition("key").sortWithinPartitions("key").mapInPandas(sort, "row long, start long, end long")
 
 
@@ -328,18 +345,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256; one row per document."""
     spark = docs.sparkSession
     small_batches(spark)
-    # rows are told apart by id and text: equal rows have equal results
-    docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("row"))  # equal texts are one row
     bits = max(LEAST_BITS, (docs.count() // PER_BUCKET).bit_length())
     usable = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length))
-    gone = stretches(usable, bits, length).groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("gone"))
-    gone = gone.select("row", F.col("gone.start").alias("starts"), F.col("gone.end").alias("ends"))
+    firsts = stored(usable.groupBy("row").agg(F.min("doc_id").alias("first")), "firsts")
+    gone = stretches(usable, firsts, bits, length).groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("gone"))
+    gone = firsts.join(gone, "row", "left").select("row", "first", F.col("gone.start").alias("starts"), F.col("gone.end").alias("ends"))
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
             out = []
-            for text, s, e in zip(as_bytes(b["text"].tolist()), b["starts"], b["ends"]):
-                spans = merged(np.asarray(s), np.asarray(e)) if s is not None else []
+            copy = (b["first"] < b["doc_id"]).fillna(False).tolist()
+            whole = b["doc_id"].isna().tolist()
+            for text, s, e, again, apart in zip(map(unpack, b["text"]), b["starts"], b["ends"], copy, whole):
+                spans = [] if apart else [(0, len(text))] if again else merged(np.asarray(s), np.asarray(e)) if s is not None else []
                 kept, at = hashlib.sha256(), 0
                 for x, y in spans:
                     kept.update(text[at:x])
@@ -348,4 +368,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 out.append((len(text), sum(y - x for x, y in spans), len(spans), kept.hexdigest()))
             yield pd.concat([b[["doc_id"]].reset_index(drop=True), pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])], axis=1)
 
-    return docs.join(gone, "row", "left").select("doc_id", "text", "starts", "ends").mapInPandas(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return squeezed(docs).join(gone, "row", "left").select("doc_id", "text", "first", "starts", "ends").mapInPandas(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
