@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+RULES = "(VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')) r(h, p, v)"
+
+URL_FILTER = f"""
+WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+m AS (SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v FROM u JOIN {RULES} ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY 1)
+SELECT u.page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM u LEFT JOIN m ON u.page_id = m.page_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_url_filter": URL_FILTER}
