@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -47,6 +48,11 @@ TOKEN = re.compile(r"[^\W\d_]+")
 Model = dict[str, float]
 
 
+def fold_of(doc: int) -> int:
+    """Which counts a sample row is kept out of; hashed, so that no order of ids matters."""
+    return zlib.crc32(f"fold {doc}".encode()) % FOLDS
+
+
 def tokens(text: str | None) -> list[str]:
     return TOKEN.findall(text.lower()) if text else []
 
@@ -174,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, float, float, list[f
         rows: Counter = Counter()
         for b in batches:
             for doc, text, toxic in zip(b["doc_id"].tolist(), b["text"].tolist(), b["toxic"].tolist()):
-                key = doc % FOLDS, int(toxic > 0)
+                key = fold_of(doc), int(toxic > 0)
                 rows[key] += 1
                 seen[key].update({f for w in set(tokens(text)) for f in features(w)})
         for (fold, c), got in seen.items():
@@ -199,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, float, float, list[f
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scores = [Scores(m) for m in others]
         for b in batches:
-            out = [(int(toxic > 0), *passages(text, scores[doc % FOLDS])) for doc, text, toxic in zip(b["doc_id"].tolist(), b["text"].tolist(), b["toxic"].tolist())]
+            out = [(int(toxic > 0), *passages(text, scores[fold_of(doc)])) for doc, text, toxic in zip(b["doc_id"].tolist(), b["text"].tolist(), b["toxic"].tolist())]
             yield pd.DataFrame([(y, n, f[:50]) for y, n, f in out], columns=["toxic", "n", "found"])
 
     rows = [(r[0], r[1], list(r[2])) for r in sample.mapInPandas(score, "toxic int, n int, found array<double>").toLocalIterator()]
