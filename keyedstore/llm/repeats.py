@@ -12,6 +12,7 @@ with a smaller id.
 2. Sort.  Each bucket builds the suffix array of its distinct pieces by a difference
    cover modulo 3: sort the sampled triples, recurse on their names, sort the rest by
    first symbol and rank, merge.
+   Pieces that agree with no other on either side of their minimizer are left out.
 3. Compare.  Neighbours in the suffix array with LENGTH equal bytes are one string;
    each holder but the smallest id loses it.  Equal pieces are compared as one.
 4. The covered stretches of each document are merged and cut out.
@@ -25,6 +26,7 @@ whole and remove nothing.  Extra columns are ignored; an empty table gives no ro
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +46,7 @@ PER_BUCKET, LEAST_BITS = 1000, 8
 CHUNK = 1_000_000
 #: Bits of a minimizer's hash; beneath them stands its position in the chunk.
 HASH_BITS, PLACE = 40, 24
-META = np.dtype([("key", "<u8"), ("doc", "<i8"), ("row", "<i8"), ("start", "<u4"), ("size", "<u4")])
+META = np.dtype([("key", "<u8"), ("doc", "<i8"), ("row", "<i8"), ("start", "<u4"), ("size", "<u4"), ("gram", "<u4")])
 
 
 def minimizers(text: np.ndarray, length: int) -> np.ndarray:
@@ -63,8 +65,8 @@ def minimizers(text: np.ndarray, length: int) -> np.ndarray:
     return low
 
 
-def runs(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text number, first start, starts, hash) of runs of strings with one minimizer, chunk by chunk."""
+def runs(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text number, first start, starts, hash, the minimizer's offset) of runs of strings with one minimizer."""
     at = 0
     while at < len(texts):
         upto, held = at, 0
@@ -74,15 +76,15 @@ def runs(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarr
         if held > 8 * CHUNK:  # one very long text: in parts that overlap
             whole, step = texts[at], 8 * CHUNK
             for s in range(0, len(whole) - length + 1, step):
-                for own, start, n, key in runs_of([whole[s : s + step + length - 1]], length):
-                    yield own + at, start + s, n, key
+                for own, start, *rest in runs_of([whole[s : s + step + length - 1]], length):
+                    yield own + at, start + s, *rest
         else:
-            for own, start, n, key in runs_of(texts[at:upto], length):
-                yield own + at, start, n, key
+            for own, *rest in runs_of(texts[at:upto], length):
+                yield own + at, *rest
         at = upto
 
 
-def runs_of(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def runs_of(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
     joined = np.frombuffer(b"".join(texts), np.uint8)
     if len(joined) < length:
         return
@@ -98,7 +100,14 @@ def runs_of(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.nd
     first[1:] = (low[at[1:]] != low[at[:-1]]) | (owner[at[1:]] != owner[at[:-1]]) | (at[1:] != at[:-1] + 1)
     heads = np.flatnonzero(first)
     starts = at[heads]
-    yield owner[starts], starts - begins[owner[starts]], np.diff(np.append(heads, len(at))), low[starts] >> np.uint64(PLACE)
+    yield owner[starts], starts - begins[owner[starts]], np.diff(np.append(heads, len(at))), low[starts] >> np.uint64(PLACE), (low[starts] & np.uint64((1 << PLACE) - 1)).astype(np.int64) - starts
+
+
+def passed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of sorted a how many of sorted b are less, for each of b how many of a are not greater."""
+    at = np.empty(len(a) + len(b), np.int64)
+    at[np.argsort(np.concatenate([a, b]), kind="stable")] = np.arange(len(at))  # one merge of two runs
+    return at[: len(a)] - np.arange(len(a)), at[len(a) :] - np.arange(len(b))
 
 
 def suffix_array(t: np.ndarray) -> np.ndarray:
@@ -112,7 +121,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     sample = np.concatenate([one, two])
     if top < 1 << 20:
         triple = (s[sample] * top + s[sample + 1]) * top + s[sample + 2]
-        order = np.argsort(triple, kind="stable")
+        order = np.argsort(triple)
         fresh = np.diff(triple[order]) != 0
     else:
         order = np.lexsort((s[sample + 2], s[sample + 1], s[sample]))
@@ -129,10 +138,12 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     zero = np.arange(0, n, 3)
     wide = len(sample) + 2
     key1 = lambda i: s[i] * wide + rank[i + 1]
-    zero = zero[np.argsort(key1(zero), kind="stable")]
+    zero = zero[np.argsort(key1(zero))]
     # beside residue 1 the order is (symbol, rank); beside residue 2 (symbol, symbol, rank)
     z1 = key1(zero)
-    code = np.unique(np.concatenate([s[zero] * (top + 1) + s[zero + 1], s[two] * (top + 1) + s[two + 1]]), return_inverse=True)[1]
+    code = np.concatenate([s[zero] * (top + 1) + s[zero + 1], s[two] * (top + 1) + s[two + 1]])
+    if (top + 1) ** 2 * wide >= 1 << 63:  # too wide to stand above a rank
+        code = np.unique(code, return_inverse=True)[1]
     z2 = code[: len(zero)] * wide + rank[zero + 2]
     second = code[len(zero) :] * wide + rank[two + 2]
     of_two = np.empty(n + 3, np.int64)
@@ -140,10 +151,10 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     first = sorted_sample[sorted_sample % 3 == 1]
     other = sorted_sample[sorted_sample % 3 == 2]
     place = np.empty(n + 3, np.int64)
-    place[zero] = np.arange(len(zero)) + np.searchsorted(key1(first), z1, "left") + np.searchsorted(of_two[other], z2, "left")
     before = np.empty(n + 3, np.int64)
-    before[first] = np.searchsorted(z1, key1(first), "right")
-    before[other] = np.searchsorted(z2, of_two[other], "right")
+    less_one, before[first] = passed(z1, key1(first))
+    less_two, before[other] = passed(z2, of_two[other])
+    place[zero] = np.arange(len(zero)) + less_one + less_two
     place[sorted_sample] = np.arange(len(sample)) + before[sorted_sample]
     ends = first[first >= n]  # the odd one out is no suffix
     keep = np.concatenate([zero, sorted_sample[sorted_sample < n]])
@@ -164,8 +175,11 @@ def smallest_holders(pieces: list[bytes], docs: np.ndarray, length: int) -> list
     valid = np.arange(len(text)) + length <= (begins + sizes - 1)[owner]
     order = order[valid[order]]
     same = np.arange(len(order) - 1)
-    for k in range(length):  # neighbours that still agree
-        same = same[text[order[same] + k] == text[order[same + 1] + k]]
+    step = min(length, 8)  # neighbours that still agree, eight bytes at a time
+    words = np.lib.stride_tricks.sliding_window_view(text.astype(np.uint8), step)
+    words = np.ascontiguousarray(words) if step < 8 else np.ascontiguousarray(words).view(np.uint64)
+    for k in [*range(0, length - step, step), length - step]:
+        same = same[(words[order[same] + k] == words[order[same + 1] + k]).all(axis=1)]
     new = np.ones(len(order), bool)
     new[same + 1] = False
     group = np.cumsum(new) - 1
@@ -175,22 +189,32 @@ def smallest_holders(pieces: list[bytes], docs: np.ndarray, length: int) -> list
     return [got[b : b + n - length] for b, n in zip(begins.tolist(), sizes.tolist())]
 
 
+def alike(pieces: list[bytes], grams: list[int], length: int) -> list[int]:
+    """Numbers of the pieces that can share a string with another one.
+
+    A shared string holds the minimizer and, on its left or on its right, at least half of
+    the remaining bytes: one of these two sides, minimizer included, must stand in both pieces.
+    """
+    half = (length - GRAM + 1) // 2
+    sides = [{p[g - half : g + GRAM] if g >= half else b"", p[g : g + GRAM + half] if len(p) >= g + GRAM + half else b""} - {b""} for p, g in zip(pieces, grams)]
+    held = Counter(x for own in sides for x in own)
+    return [i for i, own in enumerate(sides) if any(held[x] > 1 for x in own)]
+
+
 def lost(meta: np.ndarray, text: bytes, length: int) -> Iterator[tuple[int, int, int]]:
     """(row, start, end) of bytes that go, from a bucket's pieces."""
     ends = np.cumsum(meta["size"].astype(np.int64))
     pieces: dict[bytes, list[int]] = {}
     for i, (e, n) in enumerate(zip(ends.tolist(), meta["size"].tolist())):
         pieces.setdefault(text[e - n : e], []).append(i)
-    doc, row, start, size, key = (meta[c] for c in ("doc", "row", "start", "size", "key"))
+    doc, row, start, size, gram = (meta[c] for c in ("doc", "row", "start", "size", "gram"))
     content = list(pieces)
     least = np.array([doc[own].min() for own in pieces.values()])
-    keys = np.array([key[own[0]] for own in pieces.values()])
-    _, inverse, count = np.unique(keys, return_inverse=True, return_counts=True)
     for own, d in zip(pieces.values(), least.tolist()):
         for i in own:
             if doc[i] > d:
                 yield int(row[i]), int(start[i]), int(start[i] + size[i])
-    several = np.flatnonzero(count[inverse] > 1)  # only pieces with one minimizer can share strings
+    several = np.array(alike(content, [int(gram[own[0]]) for own in pieces.values()], length), np.int64)
     if not len(several):
         return
     held = smallest_holders([content[i] for i in several], least[several], length)
@@ -219,7 +243,7 @@ def suspects(docs: DataFrame, bits: int, length: int) -> DataFrame:
         for b in batches:
             out: dict[int, list[np.ndarray]] = {}
             same = b["row"].to_numpy().astype(np.int64).astype("<u4")  # equal texts, equal numbers
-            for own, _, _, key in runs(as_bytes(b["text"].tolist()), length):
+            for own, _, _, key, _ in runs(as_bytes(b["text"].tolist()), length):
                 bucket = key & np.uint64(small_mask)
                 order = np.argsort(bucket, kind="stable")
                 bucket, rest, own = bucket[order], (key[order] >> np.uint64(bits)).astype("<u4"), same[own[order]]
@@ -292,10 +316,11 @@ def squeezed(docs: DataFrame) -> DataFrame:
         for b in batches:
             yield b.assign(text=[pack(t) for t in as_bytes(b["text"].tolist())])
 
-    return docs.select("doc_id", "row", "text").mapInPandas(run, "doc_id long, row long, text binary")
+    # both joins on row see the same exchange: neither may add a filter of its own below it
+    return docs.select("doc_id", "row", "text").mapInPandas(run, "doc_id long, row long, text binary").where("row is not null")
 
 
-def stretches(docs: DataFrame, firsts: DataFrame, bits: int, length: int) -> DataFrame:
+def stretches(docs: DataFrame, texts: DataFrame, firsts: DataFrame, bits: int, length: int) -> DataFrame:
     """row, start, end: byte stretches that go from the first of equal texts; they may overlap."""
     flagged = stored(suspects(docs, bits, length), "suspects").groupBy("row").agg(F.first("keys").alias("keys")).join(firsts, "row")
     mask = np.uint64((1 << bits) - 1)
@@ -307,13 +332,13 @@ def stretches(docs: DataFrame, firsts: DataFrame, bits: int, length: int) -> Dat
             rows, ids = b["row"].to_numpy(), b["doc_id"].to_numpy().astype(np.int64)
             known = [np.frombuffer(k, np.uint64) for k in b["keys"]]
             out: dict[int, list] = {}
-            for own, start, n, key in runs(texts, length):
+            for own, start, n, key, gram in runs(texts, length):
                 at = 0
                 for c in np.append(np.flatnonzero(np.diff(own)) + 1, len(own)).tolist():
                     o = int(own[at])
                     for i in (np.flatnonzero(np.isin(key[at:c], known[o])) + at).tolist():
                         s, e = int(start[i]), int(start[i] + n[i]) + length - 1
-                        out.setdefault(int(key[i] & mask), []).append(((int(key[i]), int(ids[o]), int(rows[o]), s, e - s), texts[o][s:e]))
+                        out.setdefault(int(key[i] & mask), []).append(((int(key[i]), int(ids[o]), int(rows[o]), s, e - s, int(gram[i])), texts[o][s:e]))
                     at = c
             meta = [pack(np.array([m for m, _ in v], META).tobytes()) for v in out.values()]
             yield pd.DataFrame({"key": list(out), "meta": meta, "text": [pack(b"".join(t for _, t in v)) for v in out.values()]})
@@ -326,7 +351,7 @@ def stretches(docs: DataFrame, firsts: DataFrame, bits: int, length: int) -> Dat
                 got = list(lost(meta, b"".join(map(unpack, q["text"])), length))
                 yield pd.DataFrame(got, columns=["row", "start", "end"])
 
-    pieces = squeezed(docs).join(flagged, "row").where("doc_id = first").select("row", "doc_id", "text", "keys").mapInPandas(cut, "key long, meta binary, text binary")
+    pieces = texts.join(flagged, "row").where("coalesce(doc_id - first, 1) = 0").select("row", "doc_id", "text", "keys").mapInPandas(cut, "key long, meta binary, text binary")
     return pieces.repartition("key").sortWithinPartitions("key").mapInPandas(sort, "row long, start long, end long")
 
 
@@ -349,7 +374,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     bits = max(LEAST_BITS, (docs.count() // PER_BUCKET).bit_length())
     usable = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length))
     firsts = stored(usable.groupBy("row").agg(F.min("doc_id").alias("first")), "firsts")
-    gone = stretches(usable, firsts, bits, length).groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("gone"))
+    texts = squeezed(docs)
+    gone = stretches(usable, texts, firsts, bits, length).groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("gone"))
     gone = firsts.join(gone, "row", "left").select("row", "first", F.col("gone.start").alias("starts"), F.col("gone.end").alias("ends"))
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -368,4 +394,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 out.append((len(text), sum(y - x for x, y in spans), len(spans), kept.hexdigest()))
             yield pd.concat([b[["doc_id"]].reset_index(drop=True), pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])], axis=1)
 
-    return squeezed(docs).join(gone, "row", "left").select("doc_id", "text", "first", "starts", "ends").mapInPandas(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return texts.join(gone, "row", "left").select("doc_id", "text", "first", "starts", "ends").mapInPandas(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
