@@ -41,12 +41,12 @@ from .near_dedup import whole_units
 LENGTH = 50
 GRAM = 16
 #: Documents for each bucket, and the least number of buckets.
-PER_BUCKET, LEAST_BITS = 1000, 8
+PER_BUCKET, LEAST_BITS = 2000, 8
 #: Bytes of text worked on together.
 CHUNK = 1_000_000
 #: Bits of a minimizer's hash; beneath them stands its position in the chunk.
 HASH_BITS, PLACE = 40, 24
-META = np.dtype([("key", "<u8"), ("doc", "<i8"), ("row", "<i8"), ("start", "<u4"), ("size", "<u4"), ("gram", "<u4")])
+META = np.dtype([("doc", "<i8"), ("row", "<i8"), ("start", "<u4"), ("size", "<u4"), ("gram", "<u4")])
 
 
 def minimizers(text: np.ndarray, length: int) -> np.ndarray:
@@ -201,31 +201,43 @@ def alike(pieces: list[bytes], grams: list[int], length: int) -> list[int]:
     return [i for i, own in enumerate(sides) if any(held[x] > 1 for x in own)]
 
 
-def lost(meta: np.ndarray, text: bytes, length: int) -> Iterator[tuple[int, int, int]]:
-    """(row, start, end) of bytes that go, from a bucket's pieces."""
+def lost(meta: np.ndarray, text: bytes, length: int) -> pd.DataFrame:
+    """row, start, end of bytes that go, from a bucket's pieces."""
     ends = np.cumsum(meta["size"].astype(np.int64))
     pieces: dict[bytes, list[int]] = {}
     for i, (e, n) in enumerate(zip(ends.tolist(), meta["size"].tolist())):
         pieces.setdefault(text[e - n : e], []).append(i)
-    doc, row, start, size, gram = (meta[c] for c in ("doc", "row", "start", "size", "gram"))
-    content = list(pieces)
-    least = np.array([doc[own].min() for own in pieces.values()])
-    for own, d in zip(pieces.values(), least.tolist()):
-        for i in own:
-            if doc[i] > d:
-                yield int(row[i]), int(start[i]), int(start[i] + size[i])
-    several = np.array(alike(content, [int(gram[own[0]]) for own in pieces.values()], length), np.int64)
-    if not len(several):
-        return
-    held = smallest_holders([content[i] for i in several], least[several], length)
-    for i, got in zip(several.tolist(), held):
-        gone = np.flatnonzero(got < least[i])
-        if len(gone):
-            cut = np.flatnonzero(np.diff(gone) > 1)
-            for a, b in zip(np.concatenate([[0], cut + 1]).tolist(), np.append(cut, len(gone) - 1).tolist()):
-                for j in pieces[content[i]]:
-                    if doc[j] == least[i]:
-                        yield int(row[j]), int(start[j] + gone[a]), int(start[j] + gone[b] + length)
+    content, owners = list(pieces), list(pieces.values())
+    doc, gram = meta["doc"].tolist(), meta["gram"].tolist()
+    least = [min(map(doc.__getitem__, own)) for own in owners]
+    # (piece, first byte, end) of what goes: whole pieces that a smaller id holds, parts of the others
+    whole = np.array([i for own, d in zip(owners, least) for i in own if doc[i] > d], np.int64)
+    parts: list[tuple[int, int, int]] = []
+    several = alike(content, [gram[own[0]] for own in owners], length)
+    if several:
+        held = smallest_holders([content[i] for i in several], np.array([least[i] for i in several]), length)
+        for i, got in zip(several, held):
+            gone = np.flatnonzero(got < least[i])
+            if len(gone):
+                cut = np.flatnonzero(np.diff(gone) > 1)
+                for a, b in zip(gone[np.append(0, cut + 1)].tolist(), gone[np.append(cut, len(gone) - 1)].tolist()):
+                    parts.extend((j, a, b + length) for j in owners[i] if doc[j] == least[i])
+    part = np.array(parts, np.int64).reshape(-1, 3)
+    at = np.concatenate([whole, part[:, 0]])
+    begin = meta["start"][at].astype(np.int64)
+    size = meta["size"][whole].astype(np.int64)
+    first, end = np.concatenate([0 * size, part[:, 1]]), np.concatenate([size, part[:, 2]])
+    return pd.DataFrame({"row": meta["row"][at], "start": begin + first, "end": begin + end})
+
+
+def planes(meta: np.ndarray) -> bytes:
+    """The bytes of all records by their place in a record, which compresses better."""
+    return meta.view(np.uint8).reshape(len(meta), META.itemsize).T.tobytes()
+
+
+def records(data: bytes) -> np.ndarray:
+    """What `planes` was given."""
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(META.itemsize, -1).T).view(META).ravel()
 
 
 def as_bytes(values: list) -> list[bytes]:
@@ -330,26 +342,37 @@ def stretches(docs: DataFrame, texts: DataFrame, firsts: DataFrame, bits: int, l
             pack, unpack = zstandard.ZstdCompressor(1).compress, zstandard.ZstdDecompressor().decompress
             texts = list(map(unpack, b["text"]))
             rows, ids = b["row"].to_numpy(), b["doc_id"].to_numpy().astype(np.int64)
-            known = [np.frombuffer(k, np.uint64) for k in b["keys"]]
-            out: dict[int, list] = {}
+            known = [np.frombuffer(k, np.uint64) for k in b["keys"]]  # ascending
+            metas, buckets, slices = [np.empty(0, META)], [np.empty(0, np.int64)], []
             for own, start, n, key, gram in runs(texts, length):
-                at = 0
+                hits, at = [], 0
                 for c in np.append(np.flatnonzero(np.diff(own)) + 1, len(own)).tolist():
-                    o = int(own[at])
-                    for i in (np.flatnonzero(np.isin(key[at:c], known[o])) + at).tolist():
-                        s, e = int(start[i]), int(start[i] + n[i]) + length - 1
-                        out.setdefault(int(key[i] & mask), []).append(((int(key[i]), int(ids[o]), int(rows[o]), s, e - s, int(gram[i])), texts[o][s:e]))
+                    k = known[own[at]]
+                    hits.append(np.flatnonzero(k[np.minimum(np.searchsorted(k, key[at:c]), len(k) - 1)] == key[at:c]) + at)
                     at = c
-            meta = [pack(np.array([m for m, _ in v], META).tobytes()) for v in out.values()]
-            yield pd.DataFrame({"key": list(out), "meta": meta, "text": [pack(b"".join(t for _, t in v)) for v in out.values()]})
+                i = np.concatenate(hits)
+                m = np.empty(len(i), META)
+                m["doc"], m["row"], m["start"], m["size"], m["gram"] = ids[own[i]], rows[own[i]], start[i], n[i] + length - 1, gram[i]
+                metas.append(m)
+                buckets.append((key[i] & mask).astype(np.int64))
+                slices += [texts[o][s:e] for o, s, e in zip(own[i].tolist(), start[i].tolist(), (start[i] + n[i] + length - 1).tolist())]
+            meta, bucket = np.concatenate(metas), np.concatenate(buckets)
+            order = np.argsort(bucket, kind="stable")
+            groups = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []
+            yield pd.DataFrame(
+                {
+                    "key": np.array([bucket[g[0]] for g in groups], np.int64),
+                    "meta": [pack(planes(meta[g])) for g in groups],
+                    "text": [pack(b"".join(slices[j] for j in g.tolist())) for g in groups],
+                }
+            )
 
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = zstandard.ZstdDecompressor().decompress
         for p in whole_units(batches, ["key"], 1):
             for _, q in p.groupby("key"):
-                meta = np.concatenate([np.frombuffer(unpack(m), META) for m in q["meta"]])
-                got = list(lost(meta, b"".join(map(unpack, q["text"])), length))
-                yield pd.DataFrame(got, columns=["row", "start", "end"])
+                meta = np.concatenate([records(unpack(m)) for m in q["meta"]])
+                yield lost(meta, b"".join(map(unpack, q["text"])), length)
 
     pieces = texts.join(flagged, "row").where("coalesce(doc_id - first, 1) = 0").select("row", "doc_id", "text", "keys").mapInPandas(cut, "key long, meta binary, text binary")
     return pieces.repartition("key").sortWithinPartitions("key").mapInPandas(sort, "row long, start long, end long")
