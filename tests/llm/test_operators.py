@@ -77,6 +77,15 @@ def test_least_matches_keep_the_threshold():
     assert list(least) == sorted(least) and lost < 1e-3
 
 
+def test_piece_records_and_sides():
+    meta = np.array([(i, -i, 3 * i, i, i % 35) for i in range(300)], repeats.META)
+    assert (repeats.records(repeats.planes(meta)) == meta).all()
+    rng = random.Random(9)
+    gram, left, right = (rng.randbytes(n) for n in (repeats.GRAM, 34, 34))
+    pieces = [left + gram + right, rng.randbytes(20) + left[-17:] + gram + rng.randbytes(17), left[-16:] + gram + rng.randbytes(34), rng.randbytes(34) + gram + rng.randbytes(34)]
+    assert repeats.alike(pieces, [34, 37, 16, 34], 50) == [0, 1]
+
+
 def test_repeats(docs, none):
     length, seen, want = 50, {}, {}
     rows = sorted((r["doc_id"], (r["text"] or "").encode()) for r in docs.collect())
