@@ -190,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, float, float, list[f
     columns = [F.sum(F.when((F.col("fold") == f) & (F.col("toxic") == c), F.col("n")).otherwise(0)).alias(f"n{f}{c}") for f in range(FOLDS) for c in (0, 1)]
     counted = sample.mapInPandas(count, "feature string, fold int, toxic int, n long").groupBy("feature").agg(F.sum("n").alias("n"), *columns).where(F.col("n") >= LEAST)
     by_fold: list[dict[str, tuple[float, float]]] = [{} for _ in range(FOLDS)]
-    for r in counted.toLocalIterator():
+    for r in counted.collect():  # words and stems of SAMPLE rows
         for f in range(FOLDS):
             by_fold[f][r["feature"]] = r[f"n{f}0"], r[f"n{f}1"]
 
@@ -208,7 +208,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, float, float, list[f
             out = [(int(toxic > 0), *passages(text, scores[fold_of(doc)])) for doc, text, toxic in zip(b["doc_id"].tolist(), b["text"].tolist(), b["toxic"].tolist())]
             yield pd.DataFrame([(y, n, f[:50]) for y, n, f in out], columns=["toxic", "n", "found"])
 
-    rows = [(r[0], r[1], list(r[2])) for r in sample.mapInPandas(score, "toxic int, n int, found array<double>").toLocalIterator()]
+    # at most SAMPLE rows of 50 numbers; one job, where a local iterator would run its tasks one by one
+    rows = [(r[0], r[1], list(r[2])) for r in sample.mapInPandas(score, "toxic int, n int, found array<double>").collect()]
     scale, shift = gumbel([(n, f) for y, n, f in rows if not y])
     e = np.array([evidence(n, f, scale, shift) for _, n, f in rows])
     w = logistic(curve_inputs(e), np.array([y for y, _, _ in rows], float))
