@@ -15,6 +15,10 @@
    give counts and one connecting link a vector, never lists of pairs.
 6. AUDIT queries are compared by brute force with all rows.  While recall is under
    the target the overlap grows and the work is done again.
+7. A group of close but unequal vectors that spreads over many shards needs more than
+   any overlap.  Beyond WIDEST the pairs are found exactly: a vector is compared with
+   all vectors of every shard that can hold one in range by the angle to its centroid,
+   in blocks of EXACT_BLOCK.  That takes work by the square of such a group.
 
 Vectors that are null, empty, zero or hold null or non-finite components, and
 those with a null label, link with nothing.  Vectors of different lengths are not
@@ -39,6 +43,12 @@ SAMPLE = 20_000
 PER_CENTROID = 600
 BLOCK = 256
 OVERLAP = 3
+#: The largest overlap; data whose audit still fails there are compared exactly.
+WIDEST = 4 * OVERLAP
+#: Vectors of a shard, and of a block, of the exact way.
+EXACT_SHARD, EXACT_BLOCK = 4000, 2048
+#: Slack of angles and their bounds against rounding, in radians.
+SLACK = 1e-6
 DEGREE = 16
 CANDIDATES = 48
 ALPHA = 1.2
@@ -59,9 +69,9 @@ def k_means(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return c
 
 
-def centroid_tree(sample: dict[int, np.ndarray], count: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """For each vector length: the top centroids and, below each, its children."""
-    k = max(1, math.ceil(count / PER_CENTROID))
+def centroid_tree(sample: dict[int, np.ndarray], count: int, each: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each vector length: the top centroids and, below each, its children; `each` vectors a child."""
+    k = max(1, math.ceil(count / each))
     top = max(1, round(math.sqrt(k)))
     trees = {}
     for dim, x in sample.items():
@@ -145,13 +155,18 @@ def range_search(x: np.ndarray, graph: np.ndarray, query: int, start: int, at_le
             sims[new] = x[new] @ q
 
 
-def links(vectors: DataFrame, at_least: float, overlap: int) -> DataFrame:
-    """vectors (id, label, dim, copies, vec) -> id, links, link: number of linked vectors, smallest id of the unit's component."""
+def fitted(vectors: DataFrame, each: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """The centroid tree of at most SAMPLE vectors."""
     count = vectors.count()
     sampled: dict[int, list[bytes]] = {}
     for r in vectors.orderBy(F.xxhash64("id")).limit(SAMPLE).select("dim", "vec").toLocalIterator():
         sampled.setdefault(r["dim"], []).append(bytes(r["vec"]))
-    trees = centroid_tree({d: unit(v) for d, v in sampled.items()}, count)
+    return centroid_tree({d: unit(v) for d, v in sampled.items()}, count, each)
+
+
+def links(vectors: DataFrame, at_least: float, overlap: int) -> DataFrame:
+    """vectors (id, label, dim, copies, vec) -> id, links, link: number of linked vectors, smallest id of the unit's component."""
+    trees = fitted(vectors, PER_CENTROID)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -214,6 +229,79 @@ def links(vectors: DataFrame, at_least: float, overlap: int) -> DataFrame:
     return whole.groupBy(*keys).applyInPandas(search, "id long, links long, link long")
 
 
+def angles(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Angles in radians; a centre of no length is at a right angle to all."""
+    size = np.linalg.norm(centers, axis=1)
+    return np.arccos(np.clip(x @ (centers / np.where(size > 0, size, 1)[:, None]).T, -1, 1))
+
+
+def exact_links(vectors: DataFrame, at_least: float) -> DataFrame:
+    """The same as `links`, of all pairs in range.
+
+    A vector lives in its nearest shard.  If u lives in shard A and v is in range of u, the
+    angle of v to A's centroid is at most A's radius and the range's angle together.  So v
+    visits the shards before its own for which that holds, and each pair meets in one unit.
+    """
+    trees = {d: children.reshape(-1, children.shape[2]) for d, (_, children) in fitted(vectors, EXACT_SHARD).items()}
+    reach = math.acos(min(1.0, max(-1.0, at_least))) + SLACK
+
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for dim, p in b.groupby("dim"):
+                x = unit(p["vec"].tolist())
+                far = angles(x, trees.get(dim, x[:1] * 0))
+                yield p.assign(home=far.argmin(axis=1), angle=far.min(axis=1))[["id", "label", "dim", "copies", "vec", "home", "angle"]]
+
+    at_home = stored(vectors.mapInPandas(settle, "id long, label string, dim int, copies long, vec binary, home int, angle double"), "homes")
+    # as many as the tree has shards
+    radius = {(r["dim"], r["home"]): r["radius"] for r in at_home.groupBy("dim", "home").agg(F.max("angle").alias("radius")).collect()}
+
+    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for dim, p in b.groupby("dim"):
+                x = unit(p["vec"].tolist())
+                far = angles(x, trees.get(dim, x[:1] * 0))
+                bound = np.array([radius.get((dim, s), -np.inf) for s in range(far.shape[1])]) + reach
+                home = p["home"].to_numpy()
+                near = (far <= bound) & (np.arange(far.shape[1]) < home[:, None])
+                near[np.arange(len(p)), home] = True
+                yield p.assign(shards=[np.flatnonzero(n).tolist() for n in near])[["id", "label", "dim", "copies", "vec", "home", "shards"]]
+
+    group = ["label", "dim", "shard"]
+    each = at_home.mapInPandas(visit, "id long, label string, dim int, copies long, vec binary, home int, shards array<int>")
+    each = stored(each.select("id", "label", "dim", "copies", "vec", F.explode("shards").alias("shard"), "home").withColumn("lives", F.col("home") == F.col("shard")).drop("home"), "visits")
+    # shards in which no vector of the label lives have no units
+    sizes = each.groupBy(*group).agg(F.ceil(F.sum(F.col("lives").cast("long")) / EXACT_BLOCK).cast("int").alias("lefts"), F.ceil(F.count("*") / EXACT_BLOCK).cast("int").alias("rights")).where("lefts > 0")
+    each = each.join(sizes, group)
+    left = each.where("lives").withColumn("l", F.pmod(F.xxhash64("id"), "lefts").cast("int")).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rights") - 1)))
+    right = each.withColumn("r", F.pmod(F.xxhash64("id"), "rights").cast("int")).withColumn("l", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)))
+    columns = ["id", "lives", "copies", "vec", *group, "l", "r"]
+    work = left.select(*columns, F.lit(True).alias("is_left")).union(right.select(*columns, F.lit(False)))
+
+    def compare(p: pd.DataFrame) -> pd.DataFrame:
+        is_left = p["is_left"].to_numpy()
+        a, b = p[is_left], p[~is_left]
+        if not len(a) or not len(b):
+            return pd.DataFrame({"id": a["id"], "links": 0, "link": a["id"]})
+        i, j = a["id"].to_numpy(), b["id"].to_numpy()
+        hit = unit(a["vec"].tolist()) @ unit(b["vec"].tolist()).T >= at_least
+        hit &= ~b["lives"].to_numpy() | (i[:, None] < j)  # two that live here meet twice
+        mine, theirs = hit @ b["copies"].to_numpy(np.float64), a["copies"].to_numpy(np.float64) @ hit
+        x, y = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+        hit, of_x, of_y = hit[np.ix_(x, y)], i[x], j[y]
+        while len(x):  # the least id spreads over the links
+            to_y = np.minimum(of_y, np.where(hit, of_x[:, None], of_x.max()).min(axis=0))
+            to_x = np.minimum(of_x, np.where(hit, to_y, to_y.max()).min(axis=1))
+            if (to_x == of_x).all() and (to_y == of_y).all():
+                break
+            of_x, of_y = to_x, to_y
+        link_i, link_j = i.copy(), j.copy()
+        link_i[x], link_j[y] = of_x, of_y
+        return pd.DataFrame({"id": np.append(i, j), "links": np.append(mine, theirs).astype(np.int64), "link": np.append(link_i, link_j)})
+
+    return work.groupBy(*group, "l", "r").applyInPandas(compare, "id long, links long, link long")
+
+
 def audit(vectors: DataFrame, found: DataFrame, at_least: float) -> float:
     """Links found by AUDIT queries as a share of those that brute force finds among all rows."""
     asked = vectors.orderBy(F.xxhash64(F.lit("audit"), "id")).limit(AUDIT).collect()
@@ -259,7 +347,11 @@ def embedding_duplicates(vectors: DataFrame, at_least: float = 0.98) -> DataFram
     while True:
         rows = stored(links(plain, at_least, overlap), "links")
         found = rows.groupBy("id").agg(F.sum("links").alias("links"))
-        if audit(plain, found, at_least) >= TARGET or overlap >= 4 * OVERLAP:
+        if audit(plain, found, at_least) >= TARGET:
+            break
+        if overlap >= WIDEST:
+            rows = stored(exact_links(plain, at_least), "links")
+            found = rows.groupBy("id").agg(F.sum("links").alias("links"))
             break
         overlap += OVERLAP
     labels = components(rows.where("link <> id").select(F.col("link").alias("a"), F.col("id").alias("b")).distinct())

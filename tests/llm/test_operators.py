@@ -197,6 +197,28 @@ def test_embeddings(spark):
     assert embedding_dedup.embedding_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_a_dense_group(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 32))
+    x[::2] = x[0] + 0.1 * rng.normal(size=(200, 32))
+    x[100:110] = x[100]  # exact copies within the group
+    rows = [(i, v.tolist(), i % 3 % 2) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    near = (u @ u.T >= 0.98) & (label[:, None] == label) & ~np.eye(len(x), dtype=bool)
+    least = np.arange(len(x))
+    for _ in range(len(x)):
+        least = np.minimum(least, np.where(near, least, len(x)).min(axis=1))
+    want = {i: (int(near[i].sum()), int(least[i])) for i in range(len(x))}
+    for name, value in (("PER_CENTROID", 1), ("OVERLAP", 1), ("WIDEST", 4)):  # the group over many shards, as in a large table
+        monkeypatch.setattr(embedding_dedup, name, value, raising=False)
+    for shard, block in ((4000, 2048), (20, 16)):
+        monkeypatch.setattr(embedding_dedup, "EXACT_SHARD", shard, raising=False)
+        monkeypatch.setattr(embedding_dedup, "EXACT_BLOCK", block, raising=False)
+        assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.embedding_duplicates(df).collect()} == want
+
+
 def test_pii_patterns():
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
     for t in ("a@b.c@d.e", "@@a@b.c", "x@y", "a@-.b a@b..c", "mail a.b+c@d-e.org.", "é@b.c a@b.cé"):
