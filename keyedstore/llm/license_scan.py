@@ -1,13 +1,13 @@
 """License scans: a trained paragraph classifier in DataFrame functions only.
 
 A paragraph is a line.  Features are the word 1- to 3-grams of the templates.  Anchors
-are template words that the background lines do not use, the fewest that give every
-template COVER of them.  A softmax regression over families and an unknown class is fitted on varied templates and at
+are words of the templates without which no line can be confirmed, and short names
+of the families; no sample has a say in them.  A softmax regression over families and an unknown class is fitted on varied templates and at
 most SAMPLE documents' lines (the bound of what is collected for training); one
 temperature, fitted on variants left out of the training, calibrates it.
 
-The model is one of lines with an anchor: a line without any is of the unknown
-class by definition and is not reported.  Distinct lines are classified once
+A line without an anchor shares too few n-grams with any template to be confirmed,
+whatever the model says of it, and is not reported.  Distinct lines are classified once
 and joined back.  A predicted family is confirmed when the line shares enough
 3-grams with one of the family's templates.
 
@@ -54,8 +54,9 @@ LOOK_ALIKES = [
 UNKNOWN = "unknown"
 SAMPLE = 300
 VARIANTS = 40
-#: Anchors of each template, as far as it has them.
-COVER = 2
+#: Short names of families, and words too frequent to look for.
+NAMES = ["apache", "bsd", "cc by", "cc-by", "creative commons", "gpl", "licence", "license", "mit license", "mozilla public", "mpl"]
+PLAIN = set("a and any are by following in is it may not of or that the this to use version with you".split())
 SURE = 0.6
 SHARED = 0.4
 TOKEN = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
@@ -84,16 +85,26 @@ def varied(line: str, filler: list[str], rng: random.Random) -> str:
     return " ".join([*before, *ws, *after])
 
 
-def cover(templates: list[set[str]]) -> list[str]:
-    """Few long words of which each template has COVER, or all that it has."""
-    left = [min(COVER, len({w for w in t if len(w) > 4})) for t in templates]
+def gate() -> list[str]:
+    """NAMES and the words without which no line can be confirmed; they depend on the templates only.
+
+    A line is confirmed when it has SHARED of a template's longest n-grams.  Words are taken
+    until the n-grams of each template that hold none of them are fewer than that.
+    """
+    own = [longest_grams(t) for ts in TEMPLATES.values() for t in ts]
     chosen: list[str] = []
-    while any(left):
-        gain = {w: sum(n > 0 for n, u in zip(left, templates) if w in u) for t in templates for w in t if len(w) > 4 and w not in chosen}
-        best = max(sorted(gain), key=gain.get)
-        chosen.append(best)
-        left = [n - (best in t and n > 0) for n, t in zip(left, templates)]
-    return sorted(chosen)
+
+    def free(gs: list[str]) -> list[str]:
+        return [g for g in gs if not any(w in chosen for w in g.split())]
+
+    while left := [f for gs in own if len(f := free(gs)) >= SHARED * len(gs)]:
+        gain: dict[str, int] = {}
+        for f in left:
+            for g in f:
+                for w in set(g.split()) - PLAIN:
+                    gain[w] = gain.get(w, 0) + 1
+        chosen.append(max(sorted(gain), key=gain.get))
+    return sorted({*chosen, *NAMES})
 
 
 class Classifier:
@@ -108,8 +119,7 @@ class Classifier:
             if not any(len(g & k) >= 0.5 * len(k) for k in known):
                 plain.append(line)
         filler = [w for line in plain for w in line.split()][:5000] or ["and", "so", "on"]
-        common = {w for line in plain for w in words(line)} | {w for line in LOOK_ALIKES for w in words(line)} - {"license", "licensed"}
-        self.anchors = cover([set(words(t)) - common for ts in TEMPLATES.values() for t in ts])
+        self.anchors = gate()
         self.families = [*sorted(TEMPLATES), UNKNOWN]
         vocabulary = sorted(set().union(*known))
         self.index = {g: i for i, g in enumerate(vocabulary)}
@@ -164,9 +174,8 @@ def scan(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     sample = docs.select("text").where(F.length("text") < 20_000).orderBy(F.xxhash64("text")).limit(SAMPLE)
     model = Classifier([line for r in sample.toLocalIterator() for line in r["text"].split("\n")])
-    gate = model.anchors
-    lines = docs.select("doc_id", "text").where(holds(F.col("text"), gate)).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    lines = lines.where(holds(F.col("content"), gate)).withColumn("content", lower(F.col("content")))
+    lines = docs.select("doc_id", "text").where(holds(F.col("text"), model.anchors)).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
+    lines = lines.where(holds(F.col("content"), model.anchors)).withColumn("content", lower(F.col("content")))
     lines = stored(lines.withColumns({"k1": F.xxhash64("content"), "k2": F.xxhash64(F.lit(1), "content")}), "lines")
     distinct = lines.groupBy("k1", "k2").agg(F.first("content").alias("content"))
     ws = distinct.select("k1", "k2", F.regexp_extract_all("content", F.lit(f"({TOKEN})"), 1).alias("w"))

@@ -324,6 +324,24 @@ def test_licenses(spark, none):
     assert all(not g[3] for g in got if g[0] == 5) and license_scan.scan(none).count() == 0
 
 
+def test_license_words_in_plain_lines(spark):
+    """Ordinary lines with the templates' words take no template out of what is read."""
+    plain = ["The license was licensed under the bridge by the GNU and the Apache people.", "Released under a public work of mit and lgpl, general and international.", "He was licensed under oath; the source of the license terms is attribution."]
+    rows = [(i, line, "x", 0) for i, line in enumerate(plain * 3)] + [(50 + i, prose(50), "x", 0) for i in range(20)]
+    known = [(f, t) for f, ts in license_scan.TEMPLATES.items() for t in ts]
+    rows += [(1000 + i, prose(20) + "\n" + t, "x", 0) for i, (_, t) in enumerate(known)]
+    got = {(r["doc_id"], r["line"]): r for r in license_scan.scan(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [t for i, (f, t) in enumerate(known) if (r := got.get((1000 + i, 1))) is None or (r["family"], r["confirmed"]) != (f, True)] == []
+    assert not any(r["confirmed"] for r in got.values() if r["doc_id"] < 1000)
+
+
+def test_license_gate_is_whole():
+    gate = license_scan.gate()
+    for t in (t for ts in license_scan.TEMPLATES.values() for t in ts):
+        own = license_scan.longest_grams(t)
+        assert sum(not any(a in g for a in gate) for g in own) < license_scan.SHARED * len(own)
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline
 
