@@ -22,10 +22,22 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("predicted = 0").select(*docs.columns)
 
 
+def one_row_each(docs: DataFrame) -> DataFrame:
+    """One row of each repeated doc_id: that of the least text, null last.  Null ids all pass."""
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    if not repeated.take(1):
+        return docs
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = F.min(F.struct(F.col("text").isNull().alias("blank"), "text", *rest)).alias("x")
+    one = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(least).select("doc_id", "x.*").select(*docs.columns)
+    return stored(docs.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(one), "single")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, similarity 0.8): the smallest id."""
+    """One document of each group of near copies (five words, similarity 0.8): the smallest id, in one row."""
     from keyedstore.llm.near_dedup import near_duplicates
 
+    docs = one_row_each(docs)
     gone = near_duplicates(docs, width=5, percent=80).where(~F.col("kept")).select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

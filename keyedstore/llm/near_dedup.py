@@ -18,8 +18,9 @@ share do not, and no candidate pair is left out.
 
 Null, empty or blank texts have no shingles and link with nothing.  A text with
 fewer words than the shingle width is one shingle.  Repeated rows of one doc_id
-are taken as copies under one id.  Extra columns are ignored; an empty table gives
-no rows.
+are taken as copies under one id.  Rows with a null doc_id link with nothing: their
+component_id is null and they are kept.  Extra columns are ignored; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -94,11 +95,13 @@ def shingle_rows(docs: DataFrame, width: int, full: bool) -> DataFrame:
                 two = (np.bitwise_xor.reduce(mix(s)), mix(s * np.uint64(0x9E3779B97F4A7C15)).sum()) if len(s) else (0, 0)
                 keys.append(np.array([*two, len(s)], np.uint64).tobytes())
                 values.append(signature(s, a, b).tobytes() if len(s) else b"")
-            out = {"doc_id": batch["doc_id"], "n_shingles": sizes, "value": values}
+            out = {"doc_id": batch["doc_id"], "nameless": batch["nameless"], "n_shingles": sizes, "value": values}
             yield pd.DataFrame(out if full else out | {"set_key": keys})
 
-    schema = "doc_id long, n_shingles long, value binary" + ("" if full else ", set_key binary")
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    schema = "doc_id long, nameless boolean, n_shingles long, value binary" + ("" if full else ", set_key binary")
+    # a null among the ids would make the batch's ids floats
+    named = docs.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("nameless"), "text")
+    return named.mapInPandas(run, schema).withColumn("doc_id", F.when(~F.col("nameless"), F.col("doc_id"))).drop("nameless")
 
 
 def explode_bands(classes: DataFrame) -> DataFrame:
@@ -284,7 +287,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     docs = docs.select("doc_id", "text")
     signed_docs = stored(shingle_rows(docs, width, False), "signatures")
     classes = stored(
-        signed_docs.where("n_shingles > 0").groupBy("set_key").agg(F.min(F.struct("doc_id", "value", "n_shingles")).alias("x")).select("set_key", F.col("x.doc_id").alias("id"), F.col("x.value").alias("sig"), F.col("x.n_shingles").alias("n")),
+        signed_docs.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min(F.struct("doc_id", "value", "n_shingles")).alias("x")).select("set_key", F.col("x.doc_id").alias("id"), F.col("x.value").alias("sig"), F.col("x.n_shingles").alias("n")),
         "classes",
     )
     # buckets with one member are most of all: they go before signatures are joined
@@ -297,6 +300,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     return (
         signed_docs.select("doc_id", "n_shingles", "set_key")
         .join(joined, "set_key", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-        .withColumn("kept", F.col("doc_id") == F.col("component_id"))
+        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )

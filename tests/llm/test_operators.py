@@ -66,6 +66,23 @@ def test_near_duplicates(docs, none, width):
     assert near_dedup.near_duplicates(none, width).count() == 0
 
 
+def test_near_duplicates_with_null_and_repeated_ids(spark, sf):
+    import corpus_pipeline
+
+    base, other, big = prose(80), prose(70), 2**60 + 1
+    rows = [(None, base), (big, base), (big + 1, base), (big + 2, edited(base, 1)), (7, other), (7, other), (7, prose(40) + " zz"), (8, None), (8, other), (9, None), (9, None), (None, "lone text"), (None, None)]
+    df = spark.createDataFrame([(i, t, "x", k) for k, (i, t) in enumerate(rows)], DOCS).coalesce(1)
+    got = [tuple(r)[:1] + tuple(r)[2:] for r in near_dedup.near_duplicates(df.where("doc_id IS NULL OR doc_id > 9")).collect()]
+    assert sorted(g for g in got if g[0]) == [(big, big, True), (big + 1, big, False), (big + 2, big, False)]
+    assert [g for g in got if g[0] is None] == [(None, None, True)] * 3
+    out = corpus_pipeline.near_duplicates(spark, df, sf)
+    assert out.columns == df.columns
+    left = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr)
+    seven = min(t for i, t in rows if i == 7)
+    want = [(None, base), (None, "lone text"), (None, None), (big, base), (7, seven), (9, None)] + [(8, other)] * (seven != other)
+    assert left == sorted(want, key=repr)
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(40, 30), (30, 35)], "a long, b long")
     assert {r["id"]: r["component"] for r in components(links).collect()} == dict.fromkeys(range(21), 0) | dict.fromkeys((30, 35, 40), 30)
