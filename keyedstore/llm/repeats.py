@@ -46,6 +46,8 @@ PER_BUCKET, LEAST_BITS = 2000, 8
 CHUNK = 1_000_000
 #: Bits of a minimizer's hash; beneath them stands its position in the chunk.
 HASH_BITS, PLACE = 40, 24
+#: Bytes of a minimizer on its way: rest of the hash, place of the row in its batch, and (not on the way back) the row.
+SENT, BACK = 4 + 2 + 8, 4 + 2
 META = np.dtype([("doc", "<i8"), ("row", "<i8"), ("start", "<u4"), ("size", "<u4"), ("gram", "<u4")])
 
 
@@ -253,44 +255,47 @@ def suspects(docs: DataFrame, bits: int, length: int) -> DataFrame:
 
         batch = TaskContext.get().partitionId() << 32
         for b in batches:
-            out: dict[int, list[np.ndarray]] = {}
-            same = b["row"].to_numpy().astype(np.int64).astype("<u4")  # equal texts, equal numbers
+            out: dict[int, list[tuple[np.ndarray, ...]]] = {}
+            b = b.drop_duplicates("row")  # equal texts, equal numbers
+            rows = b["row"].to_numpy().astype("<i8")
             for own, _, _, key, _ in runs(as_bytes(b["text"].tolist()), length):
                 bucket = key & np.uint64(small_mask)
                 order = np.argsort(bucket, kind="stable")
-                bucket, rest, own = bucket[order], (key[order] >> np.uint64(bits)).astype("<u4"), same[own[order]]
+                bucket, rest, place = bucket[order], (key[order] >> np.uint64(bits)).astype("<u4"), own[order].astype("<u2")
                 cut = np.append(np.flatnonzero(np.diff(bucket)) + 1, len(bucket))
                 at = 0
                 for c in cut.tolist():
-                    out.setdefault(int(bucket[at]), []).append((rest[at:c], own[at:c]))
+                    out.setdefault(int(bucket[at]), []).append((rest[at:c], place[at:c], rows[place[at:c]]))
                     at = c
-            data = [np.concatenate([r for r, _ in v]).tobytes() + np.concatenate([o for _, o in v]).tobytes() for v in out.values()]
-            yield pd.DataFrame({"key": [-1 - batch, *out], "batch": batch, "data": [b["row"].to_numpy().astype("<i8").tobytes(), *data]})
+            data = [b"".join(np.concatenate(x).tobytes() for x in zip(*v)) for v in out.values()]
+            yield pd.DataFrame({"key": [-1 - batch, *out], "batch": batch, "data": [rows.tobytes(), *data]})
             batch += 1
 
     def shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in whole_units(batches, ["key"], 1):
-            if p["key"].iloc[0] < 0:
+            if p["key"].iloc[-1] < 0:
                 yield p
                 continue
             for key, q in p.groupby("key"):
                 if key < 0:
                     yield q
                     continue
-                counts = np.array([len(v) // 8 for v in q["data"]])
-                rest = np.concatenate([np.frombuffer(v, "<u4", n) for v, n in zip(q["data"], counts.tolist())])
-                own = np.concatenate([np.frombuffer(v, "<u4", n, 4 * n) for v, n in zip(q["data"], counts.tolist())])
+                counts = [len(v) // SENT for v in q["data"]]
+                rest = np.concatenate([np.frombuffer(v, "<u4", n) for v, n in zip(q["data"], counts)])
+                place = np.concatenate([np.frombuffer(v, "<u2", n, 4 * n) for v, n in zip(q["data"], counts)])
+                row = np.concatenate([np.frombuffer(v, "<i8", n, 6 * n) for v, n in zip(q["data"], counts)])
+                if not len(rest):
+                    continue
                 whose = np.repeat(np.arange(len(q)), counts)
-                order = np.argsort(rest.astype(np.uint64) << np.uint64(32) | own, kind="stable")
-                r, w = rest[order], own[order]
+                order = np.argsort(rest, kind="stable")
+                r, w = rest[order], row[order]
                 heads = np.concatenate([[0], np.flatnonzero(np.diff(r)) + 1])
-                tails = np.append(heads[1:], len(r)) - 1
-                keep = np.repeat(w[heads] != w[tails], tails - heads + 1)
+                keep = np.repeat(np.minimum.reduceat(w, heads) != np.maximum.reduceat(w, heads), np.diff(np.append(heads, len(r))))
                 hit = np.sort(order[keep])
                 if not len(hit):
                     continue
                 groups = np.split(hit, np.flatnonzero(np.diff(whose[hit])) + 1)
-                yield pd.DataFrame({"key": key, "batch": q["batch"].to_numpy()[[whose[g[0]] for g in groups]], "data": [rest[g].tobytes() + own[g].tobytes() for g in groups]})
+                yield pd.DataFrame({"key": key, "batch": q["batch"].to_numpy()[[whose[g[0]] for g in groups]], "data": [rest[g].tobytes() + place[g].tobytes() for g in groups]})
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in whole_units(batches, ["batch"], 1):
@@ -302,13 +307,10 @@ def suspects(docs: DataFrame, bits: int, length: int) -> DataFrame:
                     continue
                 keys, own = [], []
                 for key, v in zip(q["key"].tolist(), q["data"]):
-                    n = len(v) // 8
+                    n = len(v) // BACK
                     keys.append(np.frombuffer(v, "<u4", n).astype(np.uint64) << np.uint64(bits) | np.uint64(key))
-                    own.append(np.frombuffer(v, "<u4", n, 4 * n))
+                    own.append(np.frombuffer(v, "<u2", n, 4 * n).astype(np.int64))
                 keys, own = np.concatenate(keys), np.concatenate(own)
-                short = rows.astype("<u4")
-                by_short = np.argsort(short, kind="stable")
-                own = by_short[np.searchsorted(short[by_short], own)]
                 order = np.lexsort((keys, own))
                 keys, own = keys[order], own[order]
                 cut = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1])

@@ -119,6 +119,18 @@ def test_repeats(docs, none):
     assert repeats.remove_repeats(none).count() == 0
 
 
+def test_suspects_of_rows_alike_in_32_bits(spark):
+    from keyedstore.llm.common import small_batches
+
+    small_batches(spark)
+    first, second = prose(40), prose(40)
+    rows = [(1, 5, first), (2, (7 << 32) + 5, second), (3, (9 << 32) + 5, second + " end"), (4, 77, first + " end"), (5, 77, first + " end")]
+    df = spark.createDataFrame(rows, "doc_id long, row long, text string").coalesce(1)
+    got = {r["row"]: set(np.frombuffer(r["keys"], np.uint64).tolist()) for r in repeats.suspects(df, 8, 50).collect()}
+    keys = {row: {int(k) for _, _, _, key, _ in repeats.runs([t.encode()], 50) for k in key} for _, row, t in rows}
+    assert got == {row: {k for k in ks if any(k in o for other, o in keys.items() if other != row)} for row, ks in keys.items()}
+
+
 def test_suffix_arrays():
     rng = np.random.default_rng(0)
     for n in range(1, 70):
