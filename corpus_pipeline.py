@@ -16,10 +16,9 @@ ORACLE_SQL = None
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not scored toxic."""
-    from keyedstore.llm.toxicity import toxicity
+    from keyedstore.llm.toxicity import clean
 
-    scored = toxicity(docs, table(spark, sf_dir, "labels"), extra=docs.columns)
-    return scored.where("predicted = 0").select(*docs.columns)
+    return clean(docs, table(spark, sf_dir, "labels"))
 
 
 def one_row_each(docs: DataFrame) -> DataFrame:

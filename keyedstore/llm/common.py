@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,15 +25,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
+    """Batches of BATCH_ROWS for this session's Python workers, from now on: the setting is read when a result is computed."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; only an unset one (tests) is made here."""
+    """The folder that all executors share; an unset one is made here for a local master only (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder and spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         folder = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="corpus-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -45,6 +51,61 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def named(df: DataFrame, *columns: str, key: str = "doc_id") -> DataFrame:
+    """The id without nulls beside `nameless`, and other columns.
+
+    A null among the ids would make floats of a whole batch's ids on their way through pandas.
+    """
+    return df.select(F.coalesce(F.col(key).cast("long"), F.lit(0)).alias(key), F.col(key).isNull().alias("nameless"), *columns)
+
+
+def renamed(df: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Undoes `named`."""
+    return df.withColumn(key, F.when(~F.col("nameless"), F.col(key))).drop("nameless")
+
+
+def by_arrow(df: DataFrame, column: str, change: Callable[[], Callable[[list], list]]) -> DataFrame:
+    """The same rows with `column` changed; `change` makes a worker's function from values to values.
+
+    Other columns never leave Arrow, so they
+    come back bit for bit whatever their types and nulls.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        its = change()
+        for b in batches:
+            at = b.schema.get_field_index(column)
+            yield b.set_column(at, b.schema.field(at), pa.array(its(b.column(at).to_pylist()), b.schema.field(at).type))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def kept_by_arrow(df: DataFrame, column: str, keep: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
+    """The rows that a worker's function of the column's values keeps, with all columns as they were."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        its = keep()
+        for b in batches:
+            yield b.filter(pa.array(its(b.column(column).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def sampled(df: DataFrame, n: int, *by: str) -> DataFrame:
+    """At most n rows that differ in `by`, those of least hash; about n where there are as many.
+
+    A cut from the count of distinct rows lets some n rows through where they are read, so no
+    task gathers more whatever the size of the table; equal rows are one before they are dealt.
+    """
+    h = F.xxhash64(*by)
+    total = df.agg(F.approx_count_distinct(h, 0.02)).first()[0]
+    part = min(1.0, 1.1 * (n + 4 * math.sqrt(n)) / max(1, total))
+    cut = min((1 << 63) - 1, int(part * (1 << 64)) - (1 << 63))
+    others = [c for c in df.columns if c not in by]
+    some = df.where(h <= F.lit(cut)).groupBy(*by).agg(*(F.min(c).alias(c) for c in others)) if others else df.where(h <= F.lit(cut)).distinct()
+    return some.orderBy(F.xxhash64(*by), *by).limit(n).select(*df.columns)
+
+
 def crc_mod(column: str | Column, n: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary") if isinstance(column, str) else column) % n
 

@@ -16,21 +16,22 @@ a larger benchmark takes several passes over the documents.
 Null, empty and blank texts, of items too, contain nothing and are contained in
 nothing.  An item with fewer words than the shingle width is one shingle of all its
 words and is found where a document holds these words in a row.  Repeated items
-are found each; repeated documents are reported each.  Extra columns are ignored
-(contaminated) or kept (clean); empty tables give no pairs.
+are found each; repeated documents are reported each, under a null id too.  Items with
+a null id are passed over.  Extra columns are ignored (contaminated) or kept bit for bit
+(clean); empty tables give no pairs.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, shingles, small_batches, word_hashes
+from .common import WordHashes, kept_by_arrow, named, renamed, shingles, small_batches, word_hashes
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -116,7 +117,7 @@ class Sketches:
 def slices(benchmark: DataFrame) -> Iterator[Sketches]:
     """The items in slices; a slice ends before its words exceed SLICE."""
     held, words = [], 0
-    for r in benchmark.select("item_id", "text").where("text is not null").orderBy("item_id", "text").toLocalIterator():
+    for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null").orderBy("item_id", "text").toLocalIterator():
         n = len(r["text"].split())
         if held and words + n > SLICE:
             yield Sketches(held)
@@ -141,10 +142,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             seen, sketches = WordHashes(), shared.value
             for b in batches:
-                rows = [(doc, *hit, hit[2] / hit[1]) for doc, text in zip(b["doc_id"].tolist(), b["text"].tolist()) if text for hit in sketches.find(word_hashes(text, seen))]
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "item_shingles", "shared", "containment"])
+                rows = [(doc, lone, *hit, hit[2] / hit[1]) for doc, lone, text in zip(b["doc_id"].tolist(), b["nameless"].tolist(), b["text"].tolist()) if text for hit in sketches.find(word_hashes(text, seen))]
+                yield pd.DataFrame(rows, columns=["doc_id", "nameless", "item_id", "item_shingles", "shared", "containment"])
 
-        found = docs.select("doc_id", "text").mapInPandas(run, PAIRS)
+        found = renamed(named(docs, "text").mapInPandas(run, PAIRS.replace(",", ", nameless boolean,", 1)))
         out = found if out is None else out.union(found)
     return out if out is not None else spark.createDataFrame([], PAIRS)
 
@@ -155,10 +156,9 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for sketches in slices(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(sketches)
 
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+        def keep(shared=shared) -> Callable[[list], list[bool]]:
             seen, sketches = WordHashes(), shared.value
-            for b in batches:
-                yield b[[not (text and sketches.find(word_hashes(text, seen))) for text in b["text"].tolist()]]
+            return lambda texts: [not (text and sketches.find(word_hashes(text, seen))) for text in texts]
 
-        docs = docs.mapInPandas(run, docs.schema)
+        docs = kept_by_arrow(docs, "text", keep)
     return docs

@@ -2,17 +2,20 @@
 
 A paragraph is a line.  Features are the word 1- to 3-grams of the templates.  Anchors
 are words of the templates without which no line can be confirmed, and short names
-of the families; no sample has a say in them.  A softmax regression over families and an unknown class is fitted on varied templates and at
-most SAMPLE documents' lines (the bound of what is collected for training); one
-temperature, fitted on variants left out of the training, calibrates it.
+of the families; no sample has a say in them.  A softmax regression over families and
+an unknown class is fitted on varied templates and on background lines: at most LINES
+lines, of CHARS characters at most, of each of at most SAMPLE texts of any length (the
+bound of what is collected for training).  One temperature, fitted on variants left out
+of the training, calibrates it.
 
 A line without an anchor shares too few n-grams with any template to be confirmed,
 whatever the model says of it, and is not reported.  Distinct lines are classified once
 and joined back.  A predicted family is confirmed when the line shares enough
 3-grams with one of the family's templates.
 
-Null and empty texts have no lines.  Repeated rows are reported each.  Extra
-columns are ignored; an empty table gives no rows.
+Null and empty texts have no lines.  Repeated rows are reported each, and a null id stays
+null.  Of equally likely families the first by name holds, the unknown class last.  Very
+long texts are read line by line.  Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, stored
+from .common import LOWER, UPPER, sampled, stored
 
 # Notices that licence families are declared with.
 TEMPLATES = {
@@ -52,7 +55,10 @@ LOOK_ALIKES = [
     "The license of the restaurant was not renewed.",
 ]
 UNKNOWN = "unknown"
-SAMPLE = 300
+#: Texts, lines of each and characters of a line that serve as background, at most.
+SAMPLE, LINES, CHARS = 300, 40, 1000
+#: Words put around notices, and background lines that stand for no licence, at most.
+FILLER, ODD = 5000, 200
 VARIANTS = 40
 #: Short names of families, and words too frequent to look for.
 NAMES = ["apache", "bsd", "cc by", "cc-by", "creative commons", "gpl", "licence", "license", "mit license", "mozilla public", "mpl"]
@@ -118,7 +124,7 @@ class Classifier:
             g = grams(words(line))
             if not any(len(g & k) >= 0.5 * len(k) for k in known):
                 plain.append(line)
-        filler = [w for line in plain for w in line.split()][:5000] or ["and", "so", "on"]
+        filler = [w for line in plain for w in line.split()][:FILLER] or ["and", "so", "on"]
         self.anchors = gate()
         self.families = [*sorted(TEMPLATES), UNKNOWN]
         vocabulary = sorted(set().union(*known))
@@ -129,7 +135,7 @@ class Classifier:
                 for v in range(VARIANTS):
                     rows.append(t if v == 0 else varied(t, filler, rng))
                     y.append(k)
-        odd = LOOK_ALIKES + rng.sample(plain, min(200, len(plain)))
+        odd = LOOK_ALIKES + rng.sample(plain, min(ODD, len(plain)))
         for line in odd:
             for _ in range(8 if line in LOOK_ALIKES else 1):
                 rows.append(varied(line, filler + self.anchors, rng))
@@ -172,8 +178,10 @@ def holds(c: Column, anchors: list[str]) -> Column:
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, line, family, probability, similarity, confirmed; a row for each line with an anchor."""
     spark = docs.sparkSession
-    sample = docs.select("text").where(F.length("text") < 20_000).orderBy(F.xxhash64("text")).limit(SAMPLE)
-    model = Classifier([line for r in sample.toLocalIterator() for line in r["text"].split("\n")])
+    # of each text the lines of least hash, so that a long text counts as much as a short one
+    few = F.slice(F.array_sort(F.transform(F.array_distinct(F.split("text", "\n")), lambda x: F.struct(F.xxhash64(x).alias("h"), F.substring(x, 1, CHARS).alias("line")))), 1, LINES)
+    sample = sampled(docs.select("text").where(F.length("text") > 0), SAMPLE, "text").select(few.getField("line").alias("lines"))
+    model = Classifier([line for r in sample.toLocalIterator() for line in r["lines"]])
     lines = docs.select("doc_id", "text").where(holds(F.col("text"), model.anchors)).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
     lines = lines.where(holds(F.col("content"), model.anchors)).withColumn("content", lower(F.col("content")))
     lines = stored(lines.withColumns({"k1": F.xxhash64("content"), "k2": F.xxhash64(F.lit(1), "content")}), "lines")

@@ -12,7 +12,9 @@ a task is one bin.  A sequence id is the task's partition number and a counter,
 so a task that runs again gives the same ids.
 
 Null or empty texts are documents of the end id alone.  Repeated rows are packed
-as often as they stand.  Extra columns are ignored; an empty table gives no rows.
+as often as they stand; a null id stays null.  A very long text is cut like any other.
+Pieces of equal size are dealt in the order in which they were read.  Extra columns are
+ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,12 +27,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from .common import small_batches
+from .common import named, renamed, small_batches
 
 CAPACITY = 1024
 PIECE = 256
 #: Pieces that are dealt to windows together.
 BIN = 100
+#: Characters from which on the slower library encodes a text (the ids are the same): the faster one may exhaust its stack.
+LONG = 1_000_000
 # How the vocabulary splits text before its merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long"
@@ -108,7 +112,7 @@ def byte_bpe(path: str, ranks_path: str, end_id: int) -> Callable[[], Callable[[
             for text in texts:
                 try:
                     text.encode("latin-1")
-                    plain = len(text) < 1_000_000 and not any(a in text for a in added)
+                    plain = len(text) < LONG and not any(a in text for a in added)
                 except UnicodeEncodeError:
                     plain = False
                 ids = fast.encode_to_numpy(text, disallowed_special=()) if plain else tokenizer.encode(text, add_special_tokens=False).ids
@@ -136,26 +140,26 @@ def pack(docs: DataFrame, make_encoder: Callable, capacity: int = CAPACITY, piec
         def place(members: list[tuple]) -> None:
             nonlocal sequence
             at = 0
-            for doc, start, length, crc, total in members:
-                rows.append((doc, start, length, crc, total, sequence, at))
+            for doc, lone, start, length, crc, total in members:
+                rows.append((doc, lone, start, length, crc, total, sequence, at))
                 at += length
             sequence += 1
 
         def settle() -> None:
             nonlocal pending
             pending = 0
-            for w in windows([x[2] for x in waiting], capacity):
+            for w in windows([x[3] for x in waiting], capacity):
                 place([waiting[i] for i in w])
             waiting.clear()
 
-        columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+        columns = ["doc_id", "nameless", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
         for batch in batches:
             texts = ["" if t is None else t for t in batch["text"].tolist()]
-            for doc, ids in zip(batch["doc_id"].tolist(), encode(texts)):
+            for doc, lone, ids in zip(batch["doc_id"].tolist(), batch["nameless"].tolist(), encode(texts)):
                 total, start = len(ids) // 4, 0
                 while start < total:
                     length = min(capacity if total - start >= capacity else piece, total - start)
-                    x = (doc, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), total)
+                    x = (doc, lone, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), total)
                     start += length
                     if length == capacity:
                         place([x])
@@ -166,14 +170,10 @@ def pack(docs: DataFrame, make_encoder: Callable, capacity: int = CAPACITY, piec
                 if len(waiting) >= bin_size and (-pending % capacity <= 2 * pending // capacity or len(waiting) >= 2 * bin_size):
                     settle()
             if rows:
-                out = pd.DataFrame(rows, columns=columns)
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+                yield pd.DataFrame(rows, columns=columns)
                 rows.clear()
         settle()
         if rows:
-            out = pd.DataFrame(rows, columns=columns)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=columns)
 
-    return docs.select("doc_id", "text").mapInPandas(run, SCHEMA)
+    return renamed(named(docs, "text").mapInPandas(run, SCHEMA.replace(",", ", nameless boolean,", 1)))

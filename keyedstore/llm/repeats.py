@@ -3,7 +3,8 @@
 A byte goes if a string of LENGTH bytes that covers it also starts in a document
 with a smaller id.
 
-0. Copies.  Equal texts are one row, under the smallest id; the others go whole.
+0. Copies.  Equal texts (by two 64-bit hashes) are one row, under the smallest id; the
+   others go whole.
 1. Deal.  Every string of LENGTH bytes has a minimizer: the 16 bytes in it with the
    least hash.  Equal strings have equal minimizers, so suffixes are dealt to buckets
    by the minimizer of their first LENGTH bytes.  A run of neighbouring strings with
@@ -17,10 +18,11 @@ with a smaller id.
    each holder but the smallest id loses it.  Equal pieces are compared as one.
 4. The covered stretches of each document are merged and cut out.
 
-Buckets grow in number with the corpus, so a bucket's size does not; a string in very
-many documents is one piece with a list of holders.  Null and empty texts have no
-bytes.  Rows with one id never remove from each other; rows with a null id are left
-whole and remove nothing.  Extra columns are ignored; an empty table gives no rows.
+Buckets grow in number with the corpus's bytes, so a bucket's size does not; a string in
+very many documents is one piece with a list of holders.  Very long texts are cut in
+parts that overlap.  Null and empty texts have no bytes.  Rows with one id never remove
+from each other; rows with a null id are left whole and remove nothing, and their id
+stays null.  Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,13 +37,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, small_batches, stored
+from .common import mix, named, renamed, small_batches, stored
 from .near_dedup import whole_units
 
 LENGTH = 50
 GRAM = 16
-#: Documents for each bucket, and the least number of buckets.
-PER_BUCKET, LEAST_BITS = 2000, 8
+#: Bytes of text for each bucket, and the least number of buckets.
+PER_BUCKET, LEAST_BITS = 6_000_000, 8
 #: Bytes of text worked on together.
 CHUNK = 1_000_000
 #: Bits of a minimizer's hash; beneath them stands its position in the chunk.
@@ -331,7 +333,7 @@ def squeezed(docs: DataFrame) -> DataFrame:
             yield b.assign(text=[pack(t) for t in as_bytes(b["text"].tolist())])
 
     # both joins on row see the same exchange: neither may add a filter of its own below it
-    return docs.select("doc_id", "row", "text").mapInPandas(run, "doc_id long, row long, text binary").where("row is not null")
+    return docs.select("doc_id", "nameless", "row", "text").mapInPandas(run, "doc_id long, nameless boolean, row long, text binary").where("row is not null")
 
 
 def stretches(docs: DataFrame, texts: DataFrame, firsts: DataFrame, bits: int, length: int) -> DataFrame:
@@ -376,7 +378,7 @@ def stretches(docs: DataFrame, texts: DataFrame, firsts: DataFrame, bits: int, l
                 meta = np.concatenate([records(unpack(m)) for m in q["meta"]])
                 yield lost(meta, b"".join(map(unpack, q["text"])), length)
 
-    pieces = texts.join(flagged, "row").where("coalesce(doc_id - first, 1) = 0").select("row", "doc_id", "text", "keys").mapInPandas(cut, "key long, meta binary, text binary")
+    pieces = texts.join(flagged, "row").where("not nameless and doc_id = first").select("row", "doc_id", "text", "keys").mapInPandas(cut, "key long, meta binary, text binary")
     return pieces.repartition("key").sortWithinPartitions("key").mapInPandas(sort, "row long, start long, end long")
 
 
@@ -395,10 +397,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256; one row per document."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("row"))  # equal texts are one row
-    bits = max(LEAST_BITS, (docs.count() // PER_BUCKET).bit_length())
-    usable = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length))
-    firsts = stored(usable.groupBy("row").agg(F.min("doc_id").alias("first")), "firsts")
+    docs = named(docs, "text").withColumns({"row": F.xxhash64("text"), "proof": F.xxhash64(F.lit(length), "text")})
+    usable = docs.where(~F.col("nameless") & (F.octet_length("text") >= length))
+    firsts = stored(usable.groupBy("row").agg(F.min("doc_id").alias("first"), F.min("proof").alias("least"), F.max("proof").alias("most"), F.sum(F.octet_length("text")).alias("bytes")), "firsts")
+    bits = max(LEAST_BITS, ((firsts.agg(F.sum("bytes")).first()[0] or 0) // PER_BUCKET).bit_length())
+    clash = firsts.where("least <> most").select("row")
+    if clash.take(1):  # unequal texts under one number (a few pairs in 2 ** 32 texts): they go by the other hash
+        other = [r["row"] for r in clash.collect()]
+        docs = docs.withColumn("row", F.when(F.col("row").isin(other), F.col("proof")).otherwise(F.col("row")))
+        usable = docs.where(~F.col("nameless") & (F.octet_length("text") >= length))
+        firsts = stored(usable.groupBy("row").agg(F.min("doc_id").alias("first")), "firsts")
+    firsts = firsts.select("row", "first")
     texts = squeezed(docs)
     gone = stretches(usable, texts, firsts, bits, length).groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("gone"))
     gone = firsts.join(gone, "row", "left").select("row", "first", F.col("gone.start").alias("starts"), F.col("gone.end").alias("ends"))
@@ -407,8 +416,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
             out = []
-            copy = (b["first"] < b["doc_id"]).fillna(False).tolist()
-            whole = b["doc_id"].isna().tolist()
+            copy, whole = b["copy"].tolist(), b["nameless"].tolist()
             for text, s, e, again, apart in zip(map(unpack, b["text"]), b["starts"], b["ends"], copy, whole):
                 spans = [] if apart else [(0, len(text))] if again else merged(np.asarray(s), np.asarray(e)) if s is not None else []
                 kept, at = hashlib.sha256(), 0
@@ -417,6 +425,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     at = y
                 kept.update(text[at:])
                 out.append((len(text), sum(y - x for x, y in spans), len(spans), kept.hexdigest()))
-            yield pd.concat([b[["doc_id"]].reset_index(drop=True), pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])], axis=1)
+            yield pd.concat([b[["doc_id", "nameless"]].reset_index(drop=True), pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])], axis=1)
 
-    return texts.join(gone, "row", "left").select("doc_id", "text", "first", "starts", "ends").mapInPandas(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    copy = F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False)).alias("copy")
+    return renamed(texts.join(gone, "row", "left").select("doc_id", "nameless", "text", copy, "starts", "ends").mapInPandas(finish, "doc_id long, nameless boolean, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))

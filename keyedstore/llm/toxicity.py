@@ -1,7 +1,8 @@
 """Toxicity by maximum-scoring segments.
 
 1. Token log-odds: class counts of each word and of its first letters come from a
-   bounded sample of labelled rows (SAMPLE).  A word's rate has a Dirichlet prior
+   bounded sample of labelled rows (SAMPLE); a feature counts from LEAST rows on, and at
+   most FEATURES are kept.  A word's rate has a Dirichlet prior
    centred on the rate of its first letters, and so on down to the corpus, so a
    new form of a known stem still scores.
 2. A linear-time scan finds all maximal scoring segments of a text.
@@ -12,9 +13,11 @@
 4. A logistic curve, fitted on the same rows, turns evidence into a probability.
 
 Labels, language, source and id are never inputs of a score.  Null and empty texts
-have no evidence and get the curve's value there.  Label rows with a null id or
+have no evidence and get the curve's value there.  A very long text is scanned in one
+pass, in time by its length.  Equal segments count each.  Label rows with a null id or
 class are passed over, of repeated ones the highest class holds.  Repeated rows
-are scored one by one.  Extra columns are ignored; an empty table gives no rows;
+are scored one by one; a null id stays null, with a null held_out.  Extra columns are
+ignored (toxicity) or kept bit for bit (clean); an empty table gives no rows;
 without usable labels every score is 0.
 """
 
@@ -24,19 +27,21 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, small_batches, stored
+from .common import crc_mod, kept_by_arrow, named, renamed, sampled, small_batches, stored
 
 #: Labelled rows that the model is fitted on, at most.
 SAMPLE = 40_000
-#: Rows in which a word or stem must occur to be in the model.
+#: Rows of the sample in which a word or stem must occur to be in the model, at least.
 LEAST = 4
+#: Words and stems of the model, at most: with more, those in the fewest rows go.
+FEATURES = 1_000_000
 STEMS = (4, 5, 6)
 #: Pseudo-count of each Dirichlet prior.
 PRIOR = 8.0
@@ -98,29 +103,36 @@ class Scores(dict):
 
 
 def segments(scores: list[float]) -> list[tuple[float, int, int]]:
-    """All maximal scoring segments (score, start, end), in one pass.
+    """All maximal scoring segments (score, start, end), in linear time.
 
-    Each open candidate holds the running sum before and after it.  A new one is
-    joined to the nearest candidate that starts lower unless that one also ends
-    at least as high.
+    Each open candidate holds the running sum before and after it, and the number of the
+    nearest earlier one that starts lower.  A new one is joined to the nearest that starts
+    lower unless that one also ends at least as high.  The numbers are followed rather than
+    all candidates walked: whatever is jumped over starts no lower than what jumps, so it is
+    never looked at again.
     """
-    open_: list[list[float]] = []  # [sum before, sum after, start, end]
+    before: list[float] = []
+    after: list[float] = []
+    spans: list[tuple[int, int]] = []
+    lower: list[int] = []
     total = 0.0
     for i, s in enumerate(scores):
-        before, total = total, total + s
+        low, total = total, total + s
         if s <= 0:
             continue
-        new = [before, total, i, i + 1]
-        while True:
-            j = len(open_) - 1
-            while j >= 0 and open_[j][0] >= new[0]:
-                j -= 1
-            if j < 0 or open_[j][1] >= new[1]:
-                open_.append(new)
-                break
-            new = [open_[j][0], total, open_[j][2], i + 1]
-            del open_[j:]
-    return [(b - a, int(i), int(j)) for a, b, i, j in open_]
+        start, j = i, len(before) - 1
+        while j >= 0 and before[j] >= low:
+            j = lower[j]
+        while j >= 0 and after[j] < total:  # joined: it begins where j does, and j's own number holds
+            low, start = before[j], spans[j][0]
+            del before[j:], after[j:], spans[j:]
+            j = lower[j]
+            del lower[len(before) :]
+        before.append(low)
+        after.append(total)
+        spans.append((start, i + 1))
+        lower.append(j)
+    return [(b - a, i, j) for a, b, (i, j) in zip(before, after, spans)]
 
 
 def passages(text: str | None, scores: Scores) -> tuple[int, list[float]]:
@@ -140,9 +152,9 @@ def evidence(n: int, found: list[float], scale: float, shift: float) -> float:
     return math.fsum(x for s in found if (x := scale * s - chance) > 0)
 
 
-def gumbel(rows: list[tuple[int, list[float]]]) -> tuple[float, float]:
-    """scale and shift of the best segment among clean texts, by moments."""
-    best = np.array([(math.log(n + 1), f[0] if f else 0.0) for n, f in rows if n] or [(0.0, 0.0)])
+def gumbel(rows: list[tuple[int, float]]) -> tuple[float, float]:
+    """scale and shift of the best segment (tokens, score) among clean texts, by moments."""
+    best = np.array([(math.log(n + 1), top) for n, top in rows if n] or [(0.0, 0.0)])
     sd = max(float(best[:, 1].std()), 0.3)
     scale = math.pi / (sd * math.sqrt(6))
     return scale, float((scale * best[:, 1] - best[:, 0]).mean()) - 0.5772
@@ -168,7 +180,7 @@ def curve_inputs(e: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, float, float, list[float]] | None:
     spark = docs.sparkSession
     usable = labels.select("doc_id", "toxic").where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (crc_mod("doc_id", 5) != 0))
-    picked = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    picked = sampled(usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), SAMPLE, "doc_id")
     ids = [tuple(r) for r in picked.toLocalIterator()]
     if not ids:
         return None
@@ -189,8 +201,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, float, float, list[f
 
     columns = [F.sum(F.when((F.col("fold") == f) & (F.col("toxic") == c), F.col("n")).otherwise(0)).alias(f"n{f}{c}") for f in range(FOLDS) for c in (0, 1)]
     counted = sample.mapInPandas(count, "feature string, fold int, toxic int, n long").groupBy("feature").agg(F.sum("n").alias("n"), *columns).where(F.col("n") >= LEAST)
+    counted = stored(counted, "features")
+    least, held = LEAST, 0
+    for r in sorted(counted.groupBy("n").agg(F.count("*").alias("m")).collect(), key=lambda r: -r["n"]):  # at most SAMPLE rows
+        held += r["m"]
+        if held > FEATURES:
+            least = r["n"] + 1
+            break
     by_fold: list[dict[str, tuple[float, float]]] = [{} for _ in range(FOLDS)]
-    for r in counted.collect():  # words and stems of SAMPLE rows
+    for r in counted.where((F.col("n") >= least) | (F.col("feature") == "")).collect():  # FEATURES at most
         for f in range(FOLDS):
             by_fold[f][r["feature"]] = r[f"n{f}0"], r[f"n{f}1"]
 
@@ -206,38 +225,55 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, float, float, list[f
         scores = [Scores(m) for m in others]
         for b in batches:
             out = [(int(toxic > 0), *passages(text, scores[fold_of(doc)])) for doc, text, toxic in zip(b["doc_id"].tolist(), b["text"].tolist(), b["toxic"].tolist())]
-            yield pd.DataFrame([(y, n, f[:50]) for y, n, f in out], columns=["toxic", "n", "found"])
-
-    # at most SAMPLE rows of 50 numbers; one job, where a local iterator would run its tasks one by one
-    rows = [(r[0], r[1], list(r[2])) for r in sample.mapInPandas(score, "toxic int, n int, found array<double>").collect()]
-    scale, shift = gumbel([(n, f) for y, n, f in rows if not y])
-    e = np.array([evidence(n, f, scale, shift) for _, n, f in rows])
-    w = logistic(curve_inputs(e), np.array([y for y, _, _ in rows], float))
+            yield pd.DataFrame(out, columns=["toxic", "n", "found"])
+
+    scored = stored(sample.mapInPandas(score, "toxic int, n int, found array<double>"), "scored")
+    # a few numbers for each of at most SAMPLE rows
+    best = scored.where("toxic = 0").select("n", F.coalesce(F.array_max("found"), F.lit(0.0))).collect()
+    scale, shift = gumbel([(n, top) for n, top in best])
+    beyond = F.aggregate("found", F.lit(0.0), lambda acc, x: acc + F.greatest(F.lit(0.0), x * scale - (F.log(F.col("n") + 1) + shift)))
+    rows = scored.select("toxic", beyond).collect()
+    w = logistic(curve_inputs(np.array([e for _, e in rows])), np.array([y for y, _ in rows], float))
     return model_of(list(range(FOLDS))), scale, shift, w.tolist()
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """doc_id, held_out, score, predicted and the columns in `extra`; one row per document."""
+def scorer(fitted) -> Callable[[list], np.ndarray]:
+    """A worker's function from texts to scores."""
+    if fitted is None:
+        return lambda texts: np.zeros(len(texts))
+    model, scale, shift, w = fitted
+    scores, w = Scores(model), np.array(w)
+
+    def score(texts: list) -> np.ndarray:
+        e = np.array([evidence(*passages(t, scores), scale, shift) for t in texts], float)
+        return 1 / (1 + np.exp(-(curve_inputs(e) @ w)))
+
+    return score
+
+
+def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted; one row per document."""
     spark = docs.sparkSession
     small_batches(spark)
-    fitted = fit(docs, labels)
-    kept = docs.select("doc_id", "text", *(c for c in extra or [] if c not in ("doc_id", "text")))
-    names = [f for f in kept.schema.fields]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in names) + ", score double"
-    shared = spark.sparkContext.broadcast(fitted)  # bounded by SAMPLE
+    shared = spark.sparkContext.broadcast(fit(docs, labels))  # bounded by FEATURES
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        got = shared.value
-        if got is None:
-            for b in batches:
-                yield b.assign(score=0.0)
-            return
-        model, scale, shift, w = got
-        scores = Scores(model)
+        score = scorer(shared.value)
         for b in batches:
-            e = np.array([evidence(*passages(t, scores), scale, shift) for t in b["text"].tolist()])
-            yield b.assign(score=1 / (1 + np.exp(-(curve_inputs(e) @ np.array(w)))) if len(b) else [])
+            yield b[["doc_id", "nameless"]].assign(score=score(b["text"].tolist()))
+
+    out = renamed(named(docs, "text").mapInPandas(run, "doc_id long, nameless boolean, score double"))
+    return out.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are not predicted toxic, with all their columns."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(fit(docs, labels))
+
+    def keep() -> Callable[[list], list[bool]]:
+        score = scorer(shared.value)
+        return lambda texts: (score(texts) < 0.5).tolist()
 
-    out = kept.mapInPandas(run, schema)
-    wanted = [] if extra is None else [f.name for f in names if f.name != "doc_id"]
-    return out.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *wanted)
+    return kept_by_arrow(docs, "text", keep)

@@ -12,7 +12,8 @@ over the sorted urls, so that a rule set of any size needs bounded memory.
 A rule fits its host and all subdomains if the url's path starts with the rule's.
 The longest rule (host and path) wins; of equally long ones the longer host's.
 Urls that no rule fits get the default verdict.  A url that is null or has no
-`://` has an empty host and path.  Repeated rows are judged one by one.  Extra
+`://` has an empty host and path.  Repeated rows are judged one by one; a null page_id
+stays null.  Extra
 columns are ignored; an empty table gives no rows; without rules all get the
 default.
 """
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER
+from .common import LOWER, UPPER, named, renamed
 
 SLICE_RULES = 200_000
 
@@ -65,7 +66,7 @@ def sweep(keys: list[str], paths: list[str], rules: list[tuple[str, str, str, st
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "allow", slice_rules: int = SLICE_RULES) -> DataFrame:
     """page_id, host, path, rule, verdict.  rules: (host, path, verdict); of equal host and path the first holds."""
     host, path = (F.regexp_extract(F.coalesce("url", F.lit("")), r"://([^/?#]*)([^?#]*)", i) for i in (1, 2))
-    df = pages.select("page_id", F.translate(host, UPPER, LOWER).alias("host"), path.alias("path"))
+    df = named(pages, "url", key="page_id").select("page_id", "nameless", F.translate(host, UPPER, LOWER).alias("host"), path.alias("path"))
     df = df.withColumn("key", F.when(F.col("host") == "", "").otherwise(F.concat(F.array_join(F.reverse(F.split("host", r"\.", -1)), "."), F.lit("."))))
     df = df.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(None).cast("string")}).sortWithinPartitions("key")
     order = sorted(range(len(rules)), key=lambda i: (key_of(rules[i][0]), i))
@@ -83,5 +84,5 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], default: str
                     verdict.append(x[1] if better else its)
                 yield p.assign(rule=rule, verdict=verdict)
 
-        df = df.mapInPandas(run, "page_id long, host string, path string, key string, rule string, verdict string")
-    return df.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
+        df = df.mapInPandas(run, "page_id long, nameless boolean, host string, path string, key string, rule string, verdict string")
+    return renamed(df, "page_id").select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
