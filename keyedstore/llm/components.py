@@ -20,7 +20,8 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         near = both.join(labels.select(F.col("id").alias("v"), "component"), "v").groupBy("u").agg(F.min("component").alias("near"))
         took = labels.join(near, labels.id == near.u).select("id", F.col("component").alias("old"), F.least("component", "near").alias("component"))
-        over = took.select(F.col("id").alias("component"), F.col("component").alias("next"))
+        # only labels whose own label fell in this round lead on; the label of a settled component is none of them
+        over = took.where("id = old and component < old").select(F.col("id").alias("component"), F.col("component").alias("next"))
         after = stored(took.join(over, "component", "left").select("id", "old", F.coalesce("next", "component").alias("component")), "labels")
         labels = after.select("id", "component")
         if not after.where("old <> component").take(1):

@@ -178,3 +178,40 @@ def test_long_texts_have_the_same_ids(monkeypatch):
     assert make()(texts) == want
 
 
+
+
+@pytest.mark.parametrize("likeness", [0.95, 0.87, 0.8])
+def test_large_families(spark, monkeypatch, likeness):
+    """Groups over many blocks: copies of one text with words changed, and chains, whose ends are not alike."""
+    from keyedstore.llm import near_dedup
+    from test_operators import shingle_set
+
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    monkeypatch.setattr(near_dedup, "SET_BLOCK", 6)
+    monkeypatch.setattr(near_dedup, "PROBES", 5)
+    rng = np.random.default_rng(3)
+    base, texts = [f"w{k}" for k in range(100)], []
+    for k in range(70):
+        w = list(base)
+        for at in rng.choice(100, max(1, int((1 - likeness) * 12)), replace=False):
+            w[at] = f"x{k}"
+        texts.append(" ".join(w))
+    chain = [f"c{k}" for k in range(100)]
+    for k in range(40):
+        chain = chain[2:] + [f"d{k}", f"e{k}"]
+        texts.append(" ".join(chain))
+    sets = [shingle_set(t, 5) for t in texts]
+    label = list(range(len(texts)))
+    for _ in range(len(texts)):
+        for i in range(len(texts)):
+            for j in range(i):
+                if label[i] != label[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    label[i] = label[j] = min(label[i], label[j])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(df).collect()} == dict(enumerate(label))
+
+
+def test_one_id_for_two_texts(spark):
+    df = spark.createDataFrame([(1, "a b c d e f g h"), (1, "p q r s t u v w"), (2, "p q r s t u v w"), (3, "a b c d e f g h"), (0, "a b c d e f g h")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"]) for r in near_dedup.near_duplicates(df).collect())
+    assert got == [(0, 0), (1, 0), (1, 1), (2, 1), (3, 0)]
