@@ -81,6 +81,13 @@ class Sketches:
         self.bits = np.zeros(1 << 20, bool)
         self.bits[(self.values >> np.uint64(44)).astype(np.int64)] = True
 
+    @classmethod
+    def of(cls, held: dict) -> "Sketches":
+        """From what is broadcast: executors have this class by value only."""
+        out = cls.__new__(cls)
+        vars(out).update(held)
+        return out
+
     def find(self, words: np.ndarray) -> list[tuple[int, int, int]]:
         """(item, its shingles, those shared) of the items that the words contain."""
         out = []
@@ -137,10 +144,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     small_batches(spark)
     out = None
     for sketches in slices(benchmark):
-        shared = spark.sparkContext.broadcast(sketches)
+        shared = spark.sparkContext.broadcast(vars(sketches))
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            seen, sketches = WordHashes(), shared.value
+            seen, sketches = WordHashes(), Sketches.of(shared.value)
             for b in batches:
                 rows = [(doc, lone, *hit, hit[2] / hit[1]) for doc, lone, text in zip(b["doc_id"].tolist(), b["nameless"].tolist(), b["text"].tolist()) if text for hit in sketches.find(word_hashes(text, seen))]
                 yield pd.DataFrame(rows, columns=["doc_id", "nameless", "item_id", "item_shingles", "shared", "containment"])
@@ -154,10 +161,10 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that contain no item, with all their columns, in one pass for each slice."""
     small_batches(docs.sparkSession)
     for sketches in slices(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(sketches)
+        shared = docs.sparkSession.sparkContext.broadcast(vars(sketches))
 
         def keep(shared=shared) -> Callable[[list], list[bool]]:
-            seen, sketches = WordHashes(), shared.value
+            seen, sketches = WordHashes(), Sketches.of(shared.value)
             return lambda texts: [not (text and sketches.find(word_hashes(text, seen))) for text in texts]
 
         docs = kept_by_arrow(docs, "text", keep)

@@ -215,3 +215,51 @@ def test_one_id_for_two_texts(spark):
     df = spark.createDataFrame([(1, "a b c d e f g h"), (1, "p q r s t u v w"), (2, "p q r s t u v w"), (3, "a b c d e f g h"), (0, "a b c d e f g h")], "doc_id long, text string")
     got = sorted((r["doc_id"], r["component_id"]) for r in near_dedup.near_duplicates(df).collect())
     assert got == [(0, 0), (1, 0), (1, 1), (2, 1), (3, 0)]
+
+
+def test_embeddings_with_odd_ids(spark):
+    from keyedstore.llm import embedding_dedup
+
+    v, w = [1.0, 2.0, 3.0], [3.0, -1.0, 0.0]
+    rows = [(None, v, 1), (BIG, v, 1), (BIG + 1, v, 1), (BIG + 1, w, 1), (BIG + 2, [1.0, 2.0, 3.01], 1), (BIG + 3, w, 1), (None, None, 1), (BIG + 4, w, None), (BIG + 1, [0.0, 0.0, 1.0], 1)]
+    df = spark.createDataFrame([(*r, 0, 0) for r in rows], "vec_id long, embedding array<double>, label int, n_links int, shard int").coalesce(1)
+    got = sorted(((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embedding_dedup.embedding_duplicates(df).collect()), key=repr)
+    # each row of the repeated id has the links of its own vector
+    want = [(None, 0, None, True)] * 2 + [(BIG, 2, BIG, True), (BIG + 1, 2, BIG, False), (BIG + 2, 2, BIG, False)]
+    want += [(BIG + 1, 1, BIG + 1, True), (BIG + 3, 1, BIG + 1, False), (BIG + 1, 0, BIG + 1, True), (BIG + 4, 0, BIG + 4, True)]
+    assert got == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("noise", [0.002, 0.05, 0.3])
+def test_shards_that_are_dealt_on(spark, monkeypatch, noise):
+    """Shards below shards, and a dense group that stays whole; against brute force."""
+    from keyedstore.llm import embedding_dedup as e
+
+    for name, value in (("PER_CENTROID", 20), ("TOP", 3), ("MOST", 60), ("PROBES", 30), ("BELOW", 4), ("BLOCK", 16), ("EXACT_BLOCK", 32)):
+        monkeypatch.setattr(e, name, value)
+    rng = np.random.default_rng(8)
+    centers = rng.normal(size=(12, 24))
+    x = centers[rng.integers(0, 12, 600)] + noise * rng.normal(size=(600, 24))
+    x[:150] = centers[0] + 0.05 * rng.normal(size=(150, 24))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = (u @ u.T >= 0.98) & ~np.eye(600, dtype=bool)
+    least = np.arange(600)
+    for _ in range(600):
+        least = np.minimum(least, np.where(near, least, 600).min(axis=1))
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in e.embedding_duplicates(df).collect()}
+    share = sum(got[i][0] for i in got) / max(1, near.sum())
+    assert 0.98 <= share <= 1 or not near.any()
+    assert sum(got[i][1] == least[i] for i in got) >= 0.98 * 600
+
+
+def test_audits_are_written_down(spark):
+    from keyedstore.llm import embedding_dedup as e
+
+    v = [(i, "a", 2, 1, np.array([1.0, i / 1000.0]).tobytes()) for i in range(40)]
+    df = spark.createDataFrame(v, e.VECTORS)
+    full = df.select("id", F.lit(39).cast("long").alias("links"))
+    assert e.audit(df, full, 0.98, 3) == 1.0
+    assert 0 < e.audit(df, df.select("id", F.when(F.col("id") % 2 == 0, 39).otherwise(13).cast("long").alias("links")), 0.98, 3) < 1
+    assert e.audit(df, full.withColumn("links", F.lit(0).cast("long")), 0.98, 3) == 0.0
+    assert e.audit(df.where("id = 0"), full.limit(0), 0.98, 3) is None
