@@ -13,8 +13,8 @@
    verified exactly.  Each unit hands on which documents hang together by links.
 5. The links' components are the result.
 
-Of a large bucket or family every member is first compared with a few leaders near its
-middle; only members that then do not hang together with most of it are compared with
+Of a bucket or family of over FEW blocks every member is first compared with a few leaders
+near its middle; only members that then do not hang together with most of it are compared with
 the whole, and no pair that hangs together already is compared again.  So a group of
 copies of one text takes work by its size; one whose members are like neither each other
 nor the leaders takes work by its pairs.  No candidate pair is left out.
@@ -46,7 +46,11 @@ STEP = 15
 #: Members of a bucket, and documents of a family, in a block.
 BLOCK, SET_BLOCK = 512, 128
 #: Leaders of a large group in a round, rows that its middle is taken from, and rounds, at most.
-LEADERS, PROBES, ROUNDS = 16, 64, 3
+LEADERS, PROBES, ROUNDS = 16, 64, 2
+#: No second round where the rest is less than this share.
+SETTLED = 0.2
+#: Blocks of a group whose pairs of blocks are all compared, at most.
+FEW = 32
 #: Sides of a unit: all of its pairs, or those of left and right.
 WHOLE, LEFT, RIGHT = 0, 1, 2
 #: Most cells of a membership matrix; beyond, pairs are merged one by one.
@@ -166,6 +170,17 @@ def pairs_of(p: pd.DataFrame, s: int, e: int) -> tuple[np.ndarray, np.ndarray]:
     return i[keep], j[keep]
 
 
+def numbered(p: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, those of left sides first and then ascending, and each row's number among them."""
+    names, number = np.unique(p["id"].to_numpy(), return_inverse=True)
+    later = np.ones(len(names), bool)
+    later[number[p["side"].to_numpy() == LEFT]] = False
+    order = np.lexsort((names, later))
+    place = np.empty(len(names), np.int64)
+    place[order] = np.arange(len(names))
+    return names[order], place[number]
+
+
 def batches_of_pairs(p: pd.DataFrame, keys: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The pairs of all units, some 400,000 at a time."""
     held, n = [], 0
@@ -218,9 +233,10 @@ def typical(p: pd.DataFrame) -> np.ndarray:
 def connected(members: DataFrame, payload: DataFrame, group: list[str], block: int, compare: Callable[[DataFrame, list[str]], DataFrame]) -> DataFrame:
     """A forest (a, b) that connects whatever pairs of a group `compare` accepts.
 
-    members: group, id; payload: id, sig and what else `compare` wants.  A group of at most
-    `block` members is one unit.  Of a larger one, the members nearest to its typical
-    signature are its leaders, and each block is compared with them.  What hangs together
+    members: group, id; payload: id, sig and what else `compare` wants.  A group is cut to
+    blocks of some `block` members, and each pair of blocks is a unit.  Of a group of over
+    FEW blocks, the members nearest to its typical signature are its leaders, and each block
+    is compared with them.  What hangs together
     with most of the group then is settled; the rest is compared with the whole group, block
     by block, but for pairs that hang together already.  So a group of copies of one text
     takes work by its size, and no pair is left out.
@@ -234,30 +250,33 @@ def connected(members: DataFrame, payload: DataFrame, group: list[str], block: i
     def units(df: DataFrame) -> DataFrame:
         return compare(df.select(*columns).repartition(*keys).sortWithinPartitions(*keys), keys)
 
-    whole = work.where(F.col("members") <= block).withColumns({"l": F.lit(0), "r": F.lit(0), "side": F.lit(WHOLE)} | no_tree)
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    few = work.where(F.col("members") <= FEW * block).withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    side = F.when(F.col("own") == F.col("other"), WHOLE).when(F.col("own") < F.col("other"), LEFT).otherwise(RIGHT)
+    whole = few.withColumns({"l": F.least("own", "other"), "r": F.greatest("own", "other"), "side": side} | no_tree)
     links = stored(units(whole), "pairs")
-    if sizes.where(F.col("members") > block).isEmpty():
+    if sizes.where(F.col("members") > FEW * block).isEmpty():
         return links
-    blocks = F.ceil(F.col("members") / block).cast("int")
-    big = stored(work.where(F.col("members") > block).withColumn("r", F.pmod(F.xxhash64("id"), blocks).cast("int")), "large")
-    rest, left = big, None
+    big = stored(work.where(F.col("members") > FEW * block).withColumn("r", F.pmod(F.xxhash64("id"), blocks).cast("int")), "large")
+    rest = big
     for _ in range(ROUNDS):
-        chosen = leaders(rest, big, group)
+        chosen = leaders(rest, group)
         # every block meets every leader
         led = chosen.join(payload, "id").join(sizes, group).withColumn("r", F.explode(F.sequence(F.lit(0), blocks - 1)))
         sides = big.withColumn("side", F.lit(RIGHT)).withColumns({"l": F.lit(0)} | no_tree).select(*columns).union(led.withColumns({"l": F.lit(0), "side": F.lit(LEFT)} | no_tree).select(*columns))
         links = stored(links.union(units(sides)).distinct(), "pairs")
-        trees = components(links).select("id", F.col("component").alias("tree"))
+        # a member hangs with the first it is linked from; two that hang together and have other firsts are compared again
+        trees = links.groupBy("b").agg(F.min("a").alias("tree")).withColumnRenamed("b", "id")
         tagged = stored(big.select(*group, "id").join(trees, "id", "left").withColumn("tree", F.coalesce("tree", "id")), "trees")
         most = tagged.groupBy(*group, "tree").agg(F.count("*").alias("n")).groupBy(*group).agg(F.max(F.struct("n", "tree")).alias("top"), F.sum("n").alias("all"))
-        most = stored(most.select(*group, F.col("top.tree").alias("main"), (F.col("all") - F.col("top.n")).alias("others")).where("others > 0"), "rest")
-        before, left = left, most.agg(F.sum("others")).first()[0] or 0
-        if not left:
+        most = stored(most.select(*group, F.col("top.tree").alias("main"), (F.col("all") - F.col("top.n")).alias("others"), "all").where("others > 0"), "rest")
+        left = most.agg(F.sum("others"), F.sum("all")).first()
+        if not left[0]:
             return links
-        tagged = tagged.join(most, group)
-        rest = stored(big.join(tagged.where("tree <> main").select(*group, "id"), [*group, "id"], "left_semi"), "others")
-        if before is not None and left > 0.8 * before:
+        tagged = tagged.join(most.drop("all"), group)
+        if left[0] < SETTLED * left[1]:
             break
+        rest = stored(big.join(tagged.where("tree <> main").select(*group, "id"), [*group, "id"], "left_semi"), "others")
     lefts = F.ceil(F.col("others") / block).cast("int")
     whole = big.join(tagged.select(*group, "id", "tree", "others", (F.col("tree") != F.col("main")).alias("rest")), [*group, "id"])
     right = whole.withColumns({"side": F.lit(RIGHT), "l": F.explode(F.sequence(F.lit(0), lefts - 1))})
@@ -265,9 +284,9 @@ def connected(members: DataFrame, payload: DataFrame, group: list[str], block: i
     return stored(links.union(units(right.select(*columns).union(ours.select(*columns)))), "pairs")
 
 
-def leaders(rest: DataFrame, big: DataFrame, group: list[str]) -> DataFrame:
+def leaders(rest: DataFrame, group: list[str]) -> DataFrame:
     """group, id: up to LEADERS members of each group of `rest` that are nearest to its typical signature."""
-    key = ", ".join(f"{c} {t}" for c, t in big.select(*group).dtypes)
+    key = ", ".join(f"{c} {t}" for c, t in rest.select(*group).dtypes)
     some = rest.join(rest.groupBy(*group).agg(F.ceil(F.count("*") / PROBES).alias("each")), group).where(F.pmod(F.xxhash64(F.lit("probe"), "id"), "each") == 0)
 
     def middle(p: pd.DataFrame) -> pd.DataFrame:
@@ -295,8 +314,8 @@ def likely(members: DataFrame, classes: DataFrame, threshold: float, miss: float
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for p in whole_units(batches, keys):
                 sigs = np.frombuffer(b"".join(p["sig"]), np.uint32).reshape(len(p), -1)
-                n, ids = p["n"].to_numpy(), p["id"].to_numpy()
-                names, number = np.unique(ids, return_inverse=True)
+                n = p["n"].to_numpy()
+                names, number = numbered(p)
                 forest = Forest(len(names))
                 for i, j in batches_of_pairs(p, keys):
                     near = np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9
@@ -345,7 +364,7 @@ def verified(families: DataFrame, docs: DataFrame, classes: DataFrame, width: in
                 bands = sigs.reshape(len(p), BANDS, ROWS)
                 sets = [np.frombuffer(s, np.uint64) for s in p["set"]]
                 n = p["n"].to_numpy()
-                names, number = np.unique(p["id"].to_numpy(), return_inverse=True)
+                names, number = numbered(p)
                 forest = Forest(len(names))
                 number = number.tolist()
                 for s, e in unit_bounds(p, keys):

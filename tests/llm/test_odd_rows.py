@@ -180,8 +180,8 @@ def test_long_texts_have_the_same_ids(monkeypatch):
 
 
 
-@pytest.mark.parametrize("likeness", [0.95, 0.87, 0.8])
-def test_large_families(spark, monkeypatch, likeness):
+@pytest.mark.parametrize("likeness, few", [(0.95, 1), (0.87, 1), (0.8, 1), (0.87, 16)])
+def test_large_families(spark, monkeypatch, likeness, few):
     """Groups over many blocks: copies of one text with words changed, and chains, whose ends are not alike."""
     from keyedstore.llm import near_dedup
     from test_operators import shingle_set
@@ -189,6 +189,7 @@ def test_large_families(spark, monkeypatch, likeness):
     monkeypatch.setattr(near_dedup, "BLOCK", 8)
     monkeypatch.setattr(near_dedup, "SET_BLOCK", 6)
     monkeypatch.setattr(near_dedup, "PROBES", 5)
+    monkeypatch.setattr(near_dedup, "FEW", few)
     rng = np.random.default_rng(3)
     base, texts = [f"w{k}" for k in range(100)], []
     for k in range(70):
