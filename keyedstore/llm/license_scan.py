@@ -1,6 +1,8 @@
 """License scans: a trained paragraph classifier in DataFrame functions only.
 
-A paragraph is a line.  Features are the word 1- to 3-grams of the templates.  Anchors
+A paragraph is a line and, where it ends within a sentence, the lines that follow it, up
+to WRAP in all; of a longer run of such lines each begins a paragraph from the WRAPth on.
+Features are the word 1- to 3-grams of the templates.  Anchors
 are words of the templates without which no line can be confirmed, and short names
 of the families; no sample has a say in them.  A softmax regression over families and
 an unknown class is fitted on varied templates and on background lines: at most LINES
@@ -8,9 +10,9 @@ lines, of CHARS characters at most, of each of at most SAMPLE texts of any lengt
 bound of what is collected for training).  One temperature, fitted on variants left out
 of the training, calibrates it.
 
-A line without an anchor shares too few n-grams with any template to be confirmed,
-whatever the model says of it, and is not reported.  Distinct lines are classified once
-and joined back.  A predicted family is confirmed when the line shares enough
+A paragraph without an anchor shares too few n-grams with any template to be confirmed,
+whatever the model says of it, and is not reported.  Distinct paragraphs are classified
+once and joined back.  A predicted family is confirmed when the paragraph shares enough
 3-grams with one of the family's templates.
 
 Null and empty texts have no lines.  Repeated rows are reported each, and a null id stays
@@ -65,6 +67,9 @@ NAMES = ["apache", "bsd", "cc by", "cc-by", "creative commons", "gpl", "licence"
 PLAIN = set("a and any are by following in is it may not of or that the this to use version with you".split())
 SURE = 0.6
 SHARED = 0.4
+#: Lines of a paragraph, at most, and how the last line of a sentence ends.
+WRAP = 6
+ENDS = r"[.!?:;][\"')\]]*\s*$"
 TOKEN = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 
 
@@ -175,15 +180,43 @@ def holds(c: Column, anchors: list[str]) -> Column:
     return c.rlike("(?i)" + "|".join(map(re.escape, least)))
 
 
+def paragraphs(text: Column, anchors: list[str]) -> Column:
+    """Array of struct(at, content): paragraphs that hold an anchor, their first line and their lines."""
+    line = F.split(text, "\n")
+    blank = lambda x: F.trim(x) == ""
+    # whether a line goes on in the next one
+    goes = F.transform(line, lambda x, j: ~blank(x) & ~x.rlike(ENDS) & ~blank(F.coalesce(F.get(line, j + 1), F.lit(""))))
+
+    def one(x: Column, pair: Column, j: Column) -> Column:
+        content, on = x, F.lit(True)
+        for k in range(1, WRAP):
+            on = on & F.get(pair["goes"], j + (k - 1))
+            content = F.when(on, F.concat(content, F.lit("\n"), F.get(pair["line"], j + k))).otherwise(content)
+        return content
+
+    def begins(pair: Column, j: Column) -> Column:
+        before = [F.coalesce(F.get(pair["goes"], j - k), F.lit(False)) for k in range(1, WRAP)]
+        whole = before[0]
+        for b in before[1:]:
+            whole = whole & b
+        return ~before[0] | whole
+
+    both = F.struct(line.alias("line"), goes.alias("goes"))
+    # a one-element array stands for a name, so that lines and flags are worked out once
+    found = F.transform(F.array(both), lambda p: F.filter(F.transform(p["line"], lambda x, j: F.struct(j.alias("at"), F.when(begins(p, j), one(x, p, j)).alias("content"))), lambda s: s["content"].isNotNull() & holds(s["content"], anchors)))
+    return F.flatten(found)
+
+
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, line, family, probability, similarity, confirmed; a row for each line with an anchor."""
+    """doc_id, line, family, probability, similarity, confirmed; a row for each paragraph with an anchor, at its first line with one."""
     spark = docs.sparkSession
     # of each text the lines of least hash, so that a long text counts as much as a short one
     few = F.slice(F.array_sort(F.transform(F.array_distinct(F.split("text", "\n")), lambda x: F.struct(F.xxhash64(x).alias("h"), F.substring(x, 1, CHARS).alias("line")))), 1, LINES)
     sample = sampled(docs.select("text").where(F.length("text") > 0), SAMPLE, "text").select(few.getField("line").alias("lines"))
     model = Classifier([line for r in sample.toLocalIterator() for line in r["lines"]])
-    lines = docs.select("doc_id", "text").where(holds(F.col("text"), model.anchors)).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    lines = lines.where(holds(F.col("content"), model.anchors)).withColumn("content", lower(F.col("content")))
+    lines = docs.select("doc_id", "text").where(holds(F.col("text"), model.anchors)).select("doc_id", F.explode(paragraphs(F.col("text"), model.anchors)).alias("p"))
+    first = F.array_position(F.transform(F.split("p.content", "\n"), lambda x: holds(x, model.anchors)), True)
+    lines = lines.select("doc_id", (F.col("p.at") + F.greatest(first - 1, F.lit(0))).cast("int").alias("line"), lower(F.col("p.content")).alias("content"))
     lines = stored(lines.withColumns({"k1": F.xxhash64("content"), "k2": F.xxhash64(F.lit(1), "content")}), "lines")
     distinct = lines.groupBy("k1", "k2").agg(F.first("content").alias("content"))
     ws = distinct.select("k1", "k2", F.regexp_extract_all("content", F.lit(f"({TOKEN})"), 1).alias("w"))
