@@ -18,8 +18,9 @@ with a smaller id.
    each holder but the smallest id loses it.  Equal pieces are compared as one.
 4. The covered stretches of each document are merged and cut out.
 
-Buckets grow in number with the corpus's bytes, so a bucket's size does not; a string in
-very many documents is one piece with a list of holders.  Very long texts are cut in
+Buckets grow in number with the corpus's bytes.  A batch of rows sends each minimizer
+once and of equal pieces those of its smallest document only (the others go whole), so
+what stands in a share of all documents comes to its bucket once a batch of BATCH_ROWS.  Very long texts are cut in
 parts that overlap.  Null and empty texts have no bytes.  Rows with one id never remove
 from each other; rows with a null id are left whole and remove nothing, and their id
 stays null.  Extra columns are ignored; an empty table gives no rows.
@@ -50,6 +51,8 @@ CHUNK = 1_000_000
 HASH_BITS, PLACE = 40, 24
 #: Bytes of a minimizer on its way: rest of the hash, place of the row in its batch, and (not on the way back) the row.
 SENT, BACK = 4 + 2 + 8, 4 + 2
+#: The place of a minimizer that several rows of a batch have.
+SEVERAL = 0xFFFF
 META = np.dtype([("doc", "<i8"), ("row", "<i8"), ("start", "<u4"), ("size", "<u4"), ("gram", "<u4")])
 
 
@@ -234,6 +237,16 @@ def lost(meta: np.ndarray, text: bytes, length: int) -> pd.DataFrame:
     return pd.DataFrame({"row": meta["row"][at], "start": begin + first, "end": begin + end})
 
 
+def settled(meta: np.ndarray, pieces: list[bytes]) -> np.ndarray:
+    """Which pieces go on: of equal ones those of the smallest doc, as the others go whatever more is found."""
+    least: dict[bytes, int] = {}
+    docs = meta["doc"].tolist()
+    for p, d in zip(pieces, docs):
+        if least.setdefault(p, d) > d:
+            least[p] = d
+    return np.array([least[p] == d for p, d in zip(pieces, docs)], bool)
+
+
 def planes(meta: np.ndarray) -> bytes:
     """The bytes of all records by their place in a record, which compresses better."""
     return meta.view(np.uint8).reshape(len(meta), META.itemsize).T.tobytes()
@@ -249,7 +262,12 @@ def as_bytes(values: list) -> list[bytes]:
 
 
 def suspects(docs: DataFrame, bits: int, length: int) -> DataFrame:
-    """row, keys: minimizers of each row that other rows have too."""
+    """row, keys: minimizers of each row that other rows have too.
+
+    A batch sends each minimizer once; one that several of its rows have is known to be
+    shared, and is sent only so that other batches learn of it.  So a minimizer that stands
+    in a share of all rows comes to its bucket once a batch.
+    """
     small_mask = (1 << bits) - 1
 
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -257,20 +275,26 @@ def suspects(docs: DataFrame, bits: int, length: int) -> DataFrame:
 
         batch = TaskContext.get().partitionId() << 32
         for b in batches:
-            out: dict[int, list[tuple[np.ndarray, ...]]] = {}
             b = b.drop_duplicates("row")  # equal texts, equal numbers
             rows = b["row"].to_numpy().astype("<i8")
-            for own, _, _, key, _ in runs(as_bytes(b["text"].tolist()), length):
-                bucket = key & np.uint64(small_mask)
-                order = np.argsort(bucket, kind="stable")
-                bucket, rest, place = bucket[order], (key[order] >> np.uint64(bits)).astype("<u4"), own[order].astype("<u2")
-                cut = np.append(np.flatnonzero(np.diff(bucket)) + 1, len(bucket))
-                at = 0
-                for c in cut.tolist():
-                    out.setdefault(int(bucket[at]), []).append((rest[at:c], place[at:c], rows[place[at:c]]))
-                    at = c
-            data = [b"".join(np.concatenate(x).tobytes() for x in zip(*v)) for v in out.values()]
-            yield pd.DataFrame({"key": [-1 - batch, *out], "batch": batch, "data": [rows.tobytes(), *data]})
+            parts = [(key, own) for own, _, _, key, _ in runs(as_bytes(b["text"].tolist()), length)]
+            key, place = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            order = np.lexsort((place, key))
+            key, place = key[order], place[order]
+            once = np.ones(len(key), bool)
+            once[1:] = (key[1:] != key[:-1]) | (place[1:] != place[:-1])
+            key, place = key[once], place[once]
+            heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
+            several = np.diff(np.append(heads, len(key))) > 1
+            local = np.repeat(several, np.diff(np.append(heads, len(key))))
+            known = np.array([len(rows), local.sum()], "<i8").tobytes() + rows.tobytes() + key[local].astype("<u8").tobytes() + place[local].astype("<u2").tobytes()
+            first, row = key[heads], rows[place[heads]]
+            where = np.where(several, SEVERAL, place[heads]).astype("<u2")
+            order = np.argsort(first & np.uint64(small_mask), kind="stable")
+            bucket, rest, where, row = (first & np.uint64(small_mask))[order], (first >> np.uint64(bits)).astype("<u4")[order], where[order], row[order]
+            cut = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)] if len(bucket) else [0]
+            data = [rest[x:y].tobytes() + where[x:y].tobytes() + row[x:y].tobytes() for x, y in zip(cut, cut[1:])]
+            yield pd.DataFrame({"key": [-1 - batch, *bucket[cut[:-1]].tolist()], "batch": batch, "data": [known, *data]})
             batch += 1
 
     def shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -292,8 +316,9 @@ def suspects(docs: DataFrame, bits: int, length: int) -> DataFrame:
                 order = np.argsort(rest, kind="stable")
                 r, w = rest[order], row[order]
                 heads = np.concatenate([[0], np.flatnonzero(np.diff(r)) + 1])
-                keep = np.repeat(np.minimum.reduceat(w, heads) != np.maximum.reduceat(w, heads), np.diff(np.append(heads, len(r))))
-                hit = np.sort(order[keep])
+                many = (np.minimum.reduceat(w, heads) != np.maximum.reduceat(w, heads)) | (np.maximum.reduceat(place[order], heads) == SEVERAL)
+                hit = order[np.repeat(many, np.diff(np.append(heads, len(r))))]
+                hit = np.sort(hit[place[hit] != SEVERAL])
                 if not len(hit):
                     continue
                 groups = np.split(hit, np.flatnonzero(np.diff(whose[hit])) + 1)
@@ -303,16 +328,18 @@ def suspects(docs: DataFrame, bits: int, length: int) -> DataFrame:
         for p in whole_units(batches, ["batch"], 1):
             for _, q in p.groupby("batch"):
                 is_ids = (q["key"] < 0).to_numpy()
-                rows = np.frombuffer(q["data"].to_numpy()[is_ids][0], "<i8")
+                known = q["data"].to_numpy()[is_ids][0]
+                n, m = np.frombuffer(known, "<i8", 2).tolist()
+                rows = np.frombuffer(known, "<i8", n, 16)
+                keys, own = [np.frombuffer(known, "<u8", m, 16 + 8 * n)], [np.frombuffer(known, "<u2", m, 16 + 8 * (n + m)).astype(np.int64)]
                 q = q[~is_ids]
-                if not len(q):
-                    continue
-                keys, own = [], []
                 for key, v in zip(q["key"].tolist(), q["data"]):
                     n = len(v) // BACK
                     keys.append(np.frombuffer(v, "<u4", n).astype(np.uint64) << np.uint64(bits) | np.uint64(key))
                     own.append(np.frombuffer(v, "<u2", n, 4 * n).astype(np.int64))
                 keys, own = np.concatenate(keys), np.concatenate(own)
+                if not len(keys):
+                    continue
                 order = np.lexsort((keys, own))
                 keys, own = keys[order], own[order]
                 cut = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1])
@@ -361,6 +388,12 @@ def stretches(docs: DataFrame, texts: DataFrame, firsts: DataFrame, bits: int, l
                 buckets.append((key[i] & mask).astype(np.int64))
                 slices += [texts[o][s:e] for o, s, e in zip(own[i].tolist(), start[i].tolist(), (start[i] + n[i] + length - 1).tolist())]
             meta, bucket = np.concatenate(metas), np.concatenate(buckets)
+            stays = settled(meta, slices)
+            if not stays.all():  # negative keys: what goes, known here
+                gone = meta[~stays]
+                begin = gone["start"].astype(np.int64)
+                yield pd.DataFrame({"key": [-1 - int(rows[0] & 0xFFFF)], "meta": [np.array([gone["row"], begin, begin + gone["size"]], "<i8").tobytes()], "text": [b""]})
+                meta, bucket, slices = meta[stays], bucket[stays], [slices[j] for j in np.flatnonzero(stays).tolist()]
             order = np.argsort(bucket, kind="stable")
             groups = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []
             yield pd.DataFrame(
@@ -374,7 +407,11 @@ def stretches(docs: DataFrame, texts: DataFrame, firsts: DataFrame, bits: int, l
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = zstandard.ZstdDecompressor().decompress
         for p in whole_units(batches, ["key"], 1):
-            for _, q in p.groupby("key"):
+            for key, q in p.groupby("key"):
+                if key < 0:
+                    gone = np.concatenate([np.frombuffer(m, "<i8").reshape(3, -1) for m in q["meta"]], axis=1)
+                    yield pd.DataFrame({"row": gone[0], "start": gone[1], "end": gone[2]})
+                    continue
                 meta = np.concatenate([records(unpack(m)) for m in q["meta"]])
                 yield lost(meta, b"".join(map(unpack, q["text"])), length)
 
