@@ -224,3 +224,19 @@ def test_stages(spark, sf):
             assert r["offset"] == at_
             at_ += r["length"]
         assert at_ <= 1024
+
+
+@pytest.mark.parametrize("name", ["op4_minhash_near_dedup", "op5_decontamination", "op7_suffix_array_dedup", "op10_embedding_near_dedup"])
+def test_sql_twins(spark, sf, name):
+    import duckdb
+
+    from keyedstore.llm.oracles import oracle_sql
+
+    db = duckdb.connect()
+    for t in ("documents", "benchmark", "embeddings"):
+        db.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    df, twin = queries()[name](spark, sf), db.sql(oracle_sql()[name])
+    columns = sorted(df.columns)
+    assert sorted(twin.columns) == columns
+    of = lambda names, rows: sorted(repr([r[names.index(c)] for c in columns]) for r in rows)
+    assert of(df.columns, map(tuple, df.collect())) == of(twin.columns, twin.fetchall())
