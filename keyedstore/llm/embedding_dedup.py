@@ -118,30 +118,34 @@ def robust_prune(x: np.ndarray, degree: int, alpha: float) -> list[list[int]]:
     return out
 
 
-def range_search(x: np.ndarray, graph: np.ndarray, query: int, start: int, at_least: float) -> np.ndarray:
-    """Indexes of rows in range of row `query`, by greedy search that widens while in range."""
-    q = x[query]
-    sims = np.full(len(x), -2.0)
-    opened = np.zeros(len(x), bool)
-    front = np.unique([start, query])
-    sims[front] = x[front] @ q
+def range_search(x: np.ndarray, graph: np.ndarray, start: int, at_least: float) -> np.ndarray:
+    """Which rows each row finds in range, by greedy search that widens while in range; all rows search abreast."""
+    n = len(x)
+    sims = np.full((n, n), -2.0)  # -2: not seen yet
+    opened = np.zeros((n, n), bool)
+    new = np.stack([np.repeat(np.arange(n), 2), np.stack([np.full(n, start), np.arange(n)], 1).ravel()])
+    rows = np.arange(n)
     while True:
-        seen = np.flatnonzero(sims > -2)
-        if len(seen) > BEAM:
-            best = seen[np.argpartition(-sims[seen], BEAM)[:BEAM]]
-        else:
-            best = seen
-        todo = best[~opened[best]]
-        todo = todo[np.argsort(-sims[todo])[:4]]
-        inside = seen[(sims[seen] >= at_least) & ~opened[seen]]
-        todo = np.union1d(todo, inside)
-        if not len(todo):
-            return np.flatnonzero(sims >= at_least)
-        opened[todo] = True
-        new = np.unique(graph[todo])
-        new = new[sims[new] == -2.0]
-        if len(new):
-            sims[new] = x[new] @ q
+        q, v = new
+        for k in range(0, len(q), 1 << 16):
+            i, j = q[k : k + (1 << 16)], v[k : k + (1 << 16)]
+            sims[i, j] = np.einsum("nd,nd->n", x[i], x[j])
+        seen = sims[rows]
+        closed = opened[rows] | (seen == -2.0)
+        last = np.partition(seen, n - BEAM, axis=1)[:, n - BEAM, None] if n > BEAM else -2.0
+        open_ = np.where(closed | (seen < last), -3.0, seen)
+        best = np.argpartition(-open_, 4, axis=1)[:, :4] if n > 4 else np.tile(np.arange(n), (len(rows), 1))
+        todo = ~closed & (seen >= at_least)
+        np.put_along_axis(todo, best, np.take_along_axis(todo, best, 1) | (np.take_along_axis(open_, best, 1) > -2.0), 1)
+        q, v = np.nonzero(todo)
+        if not len(q):
+            return sims >= at_least
+        q = rows[q]
+        opened[q, v] = True
+        pair = np.unique(q[:, None] * n + graph[v])
+        pair = pair[sims.ravel()[pair] == -2.0]
+        new = np.stack([pair // n, pair % n])
+        rows = np.unique(q)  # what opened nothing is done
 
 
 def fitted(vectors: DataFrame, each: int, most: int) -> dict[int, np.ndarray]:
@@ -223,12 +227,15 @@ def deeper(large: DataFrame, sizes: DataFrame, at_least: float, overlap: int) ->
     return large.groupBy(*keys).cogroup(own.select(*keys, "centroids").groupBy(*keys)).applyInPandas(deal, f"{VECTORS}, shard long, tight boolean")
 
 
-def earlier(lists_a: list[np.ndarray], lists_b: list[np.ndarray], shard: int) -> np.ndarray:
+def earlier(lists: list[np.ndarray], shard: int) -> np.ndarray:
     """Which pairs share a shard before this one, where they are counted."""
-    a, b = ([np.asarray(x)[np.asarray(x) < shard] for x in lists] for lists in (lists_a, lists_b))
-    both = np.intersect1d(np.concatenate(a), np.concatenate(b))
-    in_a, in_b = (np.array([np.isin(both, x) for x in lists], np.float32).reshape(len(lists), len(both)) for lists in (a, b))
-    return in_a @ in_b.T > 0
+    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    value = np.concatenate(lists)
+    row, value = row[value < shard], value[value < shard]
+    some, number = np.unique(value, return_inverse=True)
+    has = np.zeros((len(lists), len(some)), np.float32)
+    has[row, number] = 1
+    return has @ has.T > 0
 
 
 def links(vectors: DataFrame, at_least: float, overlap: int) -> DataFrame:
@@ -262,9 +269,7 @@ def links(vectors: DataFrame, at_least: float, overlap: int) -> DataFrame:
         near = [[at[v] for v in a if v in at] for a in p["near"]]
         graph = np.array([a + [i] * (max(map(len, near)) + 1 - len(a)) for i, a in enumerate(near)])
         start = int((x @ x.mean(axis=0)).argmax())
-        hit = np.zeros((len(ids), len(ids)), bool)
-        for i in range(len(ids)):
-            hit[i, range_search(x, graph, i, start, at_least)] = True
+        hit = range_search(x, graph, start, at_least)
         return counted(p, hit | hit.T)  # either end may find the other
 
     def compare(p: pd.DataFrame) -> pd.DataFrame:
@@ -275,8 +280,7 @@ def links(vectors: DataFrame, at_least: float, overlap: int) -> DataFrame:
         ids, blocks = p["id"].to_numpy(), p["block"].to_numpy()
         np.fill_diagonal(hit, False)
         own = hit & (blocks[:, None] != blocks) if p["lo"].iloc[0] != p["hi"].iloc[0] else hit.copy()
-        lists = list(p["shards"])
-        own &= ~earlier(lists, lists, int(p["shard"].iloc[0]))
+        own &= ~earlier(list(p["shards"]), int(p["shard"].iloc[0]))
         total = (own @ p["copies"].to_numpy(np.float64)).astype(np.int64)
         link = ids.copy()
         linked = np.flatnonzero(hit.any(axis=1))
