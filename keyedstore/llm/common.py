@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.folder import fresh_path
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows of an Arrow batch; texts are long, so batches are kept small.
 BATCH_ROWS = 1000
@@ -29,26 +29,22 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; an unset one is made here for a local master only (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        folder = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="corpus-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes what `stored` wrote; nothing that is still to be computed may read it."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def named(df: DataFrame, *columns: str, key: str = "doc_id") -> DataFrame:

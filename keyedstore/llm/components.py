@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -36,13 +36,15 @@ def components(links: DataFrame) -> DataFrame:
 
 def spread(links: DataFrame) -> DataFrame:
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a"))
-    labels = stored(both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("id"), F.least("u", "v").alias("component")), "labels")
+    held = stored(both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("id"), F.least("u", "v").alias("component")), "labels")
     while True:
+        labels = held.select("id", "component")
         near = both.join(labels.select(F.col("id").alias("v"), "component"), "v").groupBy("u").agg(F.min("component").alias("near"))
         took = labels.join(near, labels.id == near.u).select("id", F.col("component").alias("old"), F.least("component", "near").alias("component"))
         # only labels whose own label fell in this round lead on; the label of a settled component is none of them
         over = took.where("id = old and component < old").select(F.col("id").alias("component"), F.col("component").alias("next"))
         after = stored(took.join(over, "component", "left").select("id", "old", F.coalesce("next", "component").alias("component")), "labels")
-        labels = after.select("id", "component")
+        discard(held)
+        held = after
         if not after.where("old <> component").take(1):
-            return labels
+            return after.select("id", "component")

@@ -47,7 +47,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sampled, stored
+from .common import discard, sampled, stored
 from .components import components
 
 SAMPLE, TOP = 20_000, 256
@@ -440,6 +440,7 @@ def embedding_duplicates(vectors: DataFrame, at_least: float = 0.98) -> DataFram
         recall = audit(plain, found, at_least, overlap)
         if exact or recall is None or recall >= TARGET:
             break
+        discard(rows)
         overlap += OVERLAP
     labels = components(rows.where("link <> id").select(F.col("link").alias("a"), F.col("id").alias("b")).distinct())
     named = classes.select("k1", "k2", "id", "first", "copies").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))

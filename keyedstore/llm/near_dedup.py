@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, mix, named, renamed, shingles, signed, small_batches, stored, word_hashes
+from .common import WordHashes, discard, mix, named, renamed, shingles, signed, small_batches, stored, word_hashes
 from .components import components
 
 BANDS, ROWS = 24, 5
@@ -264,7 +264,8 @@ def connected(members: DataFrame, payload: DataFrame, group: list[str], block: i
         # every block meets every leader
         led = chosen.join(payload, "id").join(sizes, group).withColumn("r", F.explode(F.sequence(F.lit(0), blocks - 1)))
         sides = big.withColumn("side", F.lit(RIGHT)).withColumns({"l": F.lit(0)} | no_tree).select(*columns).union(led.withColumns({"l": F.lit(0), "side": F.lit(LEFT)} | no_tree).select(*columns))
-        links = stored(links.union(units(sides)).distinct(), "pairs")
+        before, links = links, stored(links.union(units(sides)).distinct(), "pairs")
+        discard(before)
         # a member hangs with the first it is linked from; two that hang together and have other firsts are compared again
         trees = links.groupBy("b").agg(F.min("a").alias("tree")).withColumnRenamed("b", "id")
         tagged = stored(big.select(*group, "id").join(trees, "id", "left").withColumn("tree", F.coalesce("tree", "id")), "trees")

@@ -88,16 +88,12 @@ def test_samples(spark):
     assert common.sampled(df.limit(0), 5, "k").collect() == []
 
 
-def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
-    class NoFolder:
-        isDefined = staticmethod(lambda: False)
-
-    class Session:
-        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
-        sparkContext = type("S", (), {"master": "spark://host:7077", "_jsc": type("J", (), {"sc": staticmethod(lambda: type("K", (), {"getCheckpointDir": staticmethod(lambda: NoFolder)}))})})
-
-    with pytest.raises(ValueError):
-        common.shared_folder(Session)
+def test_what_was_stored_goes(spark):
+    df = common.stored(spark.range(5), "five")
+    assert df.count() == 5
+    common.discard(df)
+    with pytest.raises(Exception):
+        df.count()
 
 
 def test_segments_in_linear_time():
