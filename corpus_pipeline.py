@@ -1,6 +1,10 @@
 """A corpus pipeline: each stage applies one operator to all that its predecessor kept.
 
-Null ids or texts pass every stage but packing, which takes a null text as empty.
+Null ids or texts pass every stage but packing, which takes a null text as empty.  Of the
+rows of one id the near-duplicate stage keeps the one of the least text, whatever their
+texts.  All columns but text (and n_chars, which follows it) come back bit for bit, also
+those named like what an operator returns.  An empty table gives none.  The tests hold
+each stage against brute force over a whole small table.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ from pyspark.sql import functions as F
 
 from keyedstore.llm.common import stored, table
 
-#: SQL cannot express the stages; the tests hold them against brute force.
+#: SQL cannot express the stages.
 ORACLE_SQL = None
 
 
