@@ -176,7 +176,7 @@ def test_long_texts_have_the_same_ids(monkeypatch):
 
 
 
-@pytest.mark.parametrize("likeness, few", [(0.95, 1), (0.87, 1), (0.8, 1), (0.87, 16)])
+@pytest.mark.parametrize("likeness, few", [(0.87, 1), (0.8, 1), (0.87, 16)])
 def test_large_families(spark, monkeypatch, likeness, few):
     """Groups over many blocks: copies of one text with words changed, and chains, whose ends are not alike."""
     from keyedstore.llm import near_dedup
@@ -227,7 +227,7 @@ def test_embeddings_with_odd_ids(spark):
     assert got == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("noise", [0.002, 0.05, 0.3])
+@pytest.mark.parametrize("noise", [0.002, 0.05])
 def test_shards_that_are_dealt_on(spark, monkeypatch, noise):
     """Shards below shards, and a dense group that stays whole; against brute force."""
     from keyedstore.llm import embedding_dedup as e
