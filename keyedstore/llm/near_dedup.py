@@ -13,7 +13,7 @@
    verified exactly.  Each unit hands on which documents hang together by links.
 5. The links' components are the result.
 
-Of a bucket or family of over FEW blocks every member is first compared with a few leaders
+Of a bucket or family of over FEW members every one is first compared with a few leaders
 near its middle; only members that then do not hang together with most of it are compared with
 the whole, and no pair that hangs together already is compared again.  So a group of
 copies of one text takes work by its size; one whose members are like neither each other
@@ -46,11 +46,11 @@ STEP = 15
 #: Members of a bucket, and documents of a family, in a block.
 BLOCK, SET_BLOCK = 512, 128
 #: Leaders of a large group in a round, rows that its middle is taken from, and rounds, at most.
-LEADERS, PROBES, ROUNDS = 16, 64, 2
-#: No second round where the rest is less than this share.
+LEADERS, PROBES, ROUNDS = 16, 64, 3
+#: No further round where the rest is less than this share.
 SETTLED = 0.2
-#: Blocks of a group whose pairs of blocks are all compared, at most.
-FEW = 32
+#: Members of a group whose pairs of blocks are all compared, at most.
+FEW = 4096
 #: Sides of a unit: all of its pairs, or those of left and right.
 WHOLE, LEFT, RIGHT = 0, 1, 2
 #: Most cells of a membership matrix; beyond, pairs are merged one by one.
@@ -235,7 +235,7 @@ def connected(members: DataFrame, payload: DataFrame, group: list[str], block: i
 
     members: group, id; payload: id, sig and what else `compare` wants.  A group is cut to
     blocks of some `block` members, and each pair of blocks is a unit.  Of a group of over
-    FEW blocks, the members nearest to its typical signature are its leaders, and each block
+    FEW members, those nearest to its typical signature are its leaders, and each block
     is compared with them.  What hangs together
     with most of the group then is settled; the rest is compared with the whole group, block
     by block, but for pairs that hang together already.  So a group of copies of one text
@@ -251,13 +251,13 @@ def connected(members: DataFrame, payload: DataFrame, group: list[str], block: i
         return compare(df.select(*columns).repartition(*keys).sortWithinPartitions(*keys), keys)
 
     blocks = F.ceil(F.col("members") / block).cast("int")
-    few = work.where(F.col("members") <= FEW * block).withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    few = work.where(F.col("members") <= FEW).withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     side = F.when(F.col("own") == F.col("other"), WHOLE).when(F.col("own") < F.col("other"), LEFT).otherwise(RIGHT)
     whole = few.withColumns({"l": F.least("own", "other"), "r": F.greatest("own", "other"), "side": side} | no_tree)
     links = stored(units(whole), "pairs")
-    if sizes.where(F.col("members") > FEW * block).isEmpty():
+    if sizes.where(F.col("members") > FEW).isEmpty():
         return links
-    big = stored(work.where(F.col("members") > FEW * block).withColumn("r", F.pmod(F.xxhash64("id"), blocks).cast("int")), "large")
+    big = stored(work.where(F.col("members") > FEW).withColumn("r", F.pmod(F.xxhash64("id"), blocks).cast("int")), "large")
     rest = big
     for _ in range(ROUNDS):
         chosen = leaders(rest, group)
@@ -266,8 +266,7 @@ def connected(members: DataFrame, payload: DataFrame, group: list[str], block: i
         sides = big.withColumn("side", F.lit(RIGHT)).withColumns({"l": F.lit(0)} | no_tree).select(*columns).union(led.withColumns({"l": F.lit(0), "side": F.lit(LEFT)} | no_tree).select(*columns))
         before, links = links, stored(links.union(units(sides)).distinct(), "pairs")
         discard(before)
-        # a member hangs with the first it is linked from; two that hang together and have other firsts are compared again
-        trees = links.groupBy("b").agg(F.min("a").alias("tree")).withColumnRenamed("b", "id")
+        trees = components(links).select("id", F.col("component").alias("tree"))
         tagged = stored(big.select(*group, "id").join(trees, "id", "left").withColumn("tree", F.coalesce("tree", "id")), "trees")
         most = tagged.groupBy(*group, "tree").agg(F.count("*").alias("n")).groupBy(*group).agg(F.max(F.struct("n", "tree")).alias("top"), F.sum("n").alias("all"))
         most = stored(most.select(*group, F.col("top.tree").alias("main"), (F.col("all") - F.col("top.n")).alias("others"), "all").where("others > 0"), "rest")

@@ -176,7 +176,7 @@ def test_long_texts_have_the_same_ids(monkeypatch):
 
 
 
-@pytest.mark.parametrize("likeness, few", [(0.87, 1), (0.8, 1), (0.87, 16)])
+@pytest.mark.parametrize("likeness, few", [(0.87, 8), (0.8, 8), (0.87, 4096)])
 def test_large_families(spark, monkeypatch, likeness, few):
     """Groups over many blocks: copies of one text with words changed, and chains, whose ends are not alike."""
     from keyedstore.llm import near_dedup
