@@ -5,14 +5,14 @@ The network, trained in numpy from labelled spans, adds written forms that they
 miss.  Labelled spans are pattern spans of at most SAMPLE documents, part of them
 rewritten in other forms, with look-alikes that are no personal data.
 
-Each of these kinds holds a decimal digit (of any script), an at sign or the word "dot",
-so the network reads every stretch of text within REACH characters of one and nothing
-else can hold a span.  A stretch is read in overlapping windows; a character's tag scores
-are averaged over its windows, weighted by the distance from the window's edge, and one
-best tag path is then decoded over the whole stretch, whatever its length.  Paths are
-found in parts of PART characters: the scores at each part's start are kept on the way
-forward, and a part's steps are worked out again on the way back, so memory does not
-grow with a stretch but for a byte or so a character.
+The network reads every character of every text, in overlapping windows of READ; a
+character's tag scores are averaged over its windows, weighted by the distance from the
+window's edge, and the best tag path is that of the whole text, whatever its length.  So
+that many paths are found together, a text is cut where the scores prove that the best
+path is outside whatever stands before and after; this changes no path.  A long text with
+no such place is worked on in parts of PART characters: the scores at each part's start
+are kept on the way forward, and a part's steps are worked out again on the way back, so
+memory does not grow with a text but for a byte or so a character.
 
 Null and empty texts have no spans.  Repeated rows are read one by one; a null id stays
 null.  Of equally good paths the one with the lower tags holds.  Spans are ordered by
@@ -39,7 +39,13 @@ from .common import by_arrow, named, renamed, sampled, small_batches
 KINDS = ("email", "ip", "card", "phone")
 #: Documents, and spans of each, that the network is trained on, at most.
 SAMPLE, CONTEXTS = 400, 20
-WINDOW, STRIDE, REACH = 64, 32, 24
+WINDOW, REACH = 64, 24
+#: Characters of the windows that texts are read in, from one's start to the next, and windows read abreast.
+READ, STRIDE, ABREAST = 256, 224, 480
+#: Windows of one matrix product: so small that the product never spreads over threads, which would burn several times the work.
+LOT = 96
+#: A path is cut once in so many characters, after so many that show it to be outside; characters whose scores are held together.
+CUT, LEAD, TOGETHER = 256, 24, 1 << 20
 HIDDEN = 16
 STEPS, BATCH = 400, 32
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
@@ -54,7 +60,7 @@ IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 GATE = re.compile(r"[\d@]|\b[Dd][Oo][Tt]\b")
-#: Characters whose windows are scored, and cells (characters times stretches) whose paths are found together.
+#: Characters whose windows are scored, and cells (characters times runs) whose paths are found together.
 PART, CELLS = 1 << 16, 1 << 18
 # How an at sign and a full stop are spelled out.
 SPELLED_AT, SPELLED_DOT = re.compile(r"\s*[(\[{]\s*at\s*[)\]}]\s*|\s+at\s+", re.I), re.compile(r"\s*[(\[{]\s*dot\s*[)\]}]\s*|\s+dot\s+", re.I)
@@ -119,13 +125,18 @@ def order(s: Span) -> tuple[int, int, int]:
 
 
 def char_classes(text: str) -> np.ndarray:
-    codes = np.frombuffer(plain_digits(text).encode("utf-32-le", "surrogatepass"), np.uint32)
-    table = np.full(256, 5, np.int8)
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    table = np.full(257, 5, np.int8)
     table[48:58], table[97:123], table[65:91] = 1, 2, 3
     for i, c in enumerate(MARKS):
         table[ord(c)] = 6 + i
-    table[192:256] = 4
-    return np.where(codes < 256, table[np.minimum(codes, 255)], 4).astype(np.int64)
+    table[192:] = 4
+    out = table[np.minimum(codes, 256)]
+    if not text.isascii():  # digits of other scripts are digits
+        digits = np.array(sorted(decimals()), np.uint32)
+        high = np.flatnonzero(codes >= digits[0])
+        out[high[digits[np.minimum(np.searchsorted(digits, codes[high]), len(digits) - 1)] == codes[high]]] = 1
+    return out
 
 
 def lstm(wx: np.ndarray, wh: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, list]:
@@ -303,7 +314,7 @@ def train(texts: list[str], seed: int = 5, steps: int = STEPS) -> dict[str, np.n
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """The parts within REACH characters of a digit or at sign."""
+    """The parts within REACH characters of a digit, an at sign or the word "dot", where most items stand; the network reads beyond them."""
     out: list[list[int]] = []
     for m in GATE.finditer(text):
         s, e = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
@@ -314,49 +325,140 @@ def stretches(text: str) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
+def near_tanh(x: np.ndarray, out: np.ndarray, square: np.ndarray, below: np.ndarray) -> None:
+    """tanh to within 0.002, by a quotient of polynomials."""
+    np.clip(x, -3.6, 3.6, out=out)
+    np.multiply(out, out, out=square)
+    np.multiply(square, 15, out=below)
+    below += 420
+    below *= square
+    below += 945
+    out /= below
+    np.add(square, 105, out=below)
+    below *= square
+    below += 945
+    out *= below
+
+
+def reader(m: dict[str, np.ndarray]) -> Callable[[np.ndarray], np.ndarray]:
+    """Tag scores of windows (time x batch of classes) in single precision, for reading only: batch x time x tags."""
+    n = m["fh"].shape[0]
+    half = np.r_[np.full(3 * n, 0.5), np.ones(n)]  # the logistic function by tanh of the half; gates and states are kept doubled
+    w = np.stack([np.vstack([m["fh"] / 2, m["fx"]]) * half, np.vstack([m["bh"] / 2, m["bx"]]) * half]).transpose(0, 2, 1).astype(np.float32)
+    out, bias = m["out"].T.astype(np.float32) / 2, m["bias"].astype(np.float32)
+
+    def scores(x: np.ndarray) -> np.ndarray:
+        t, b = x.shape
+        lots = -(-b // LOT)
+        given = np.zeros((2, lots, n + CLASSES, LOT), np.float32)  # the state above the class, one of CLASSES
+        c, every = np.zeros((2, lots, n, LOT), np.float32), np.empty((t, lots, 2 * n, LOT), np.float32)
+        z, y, *room = (np.empty((2, lots, 4 * n, LOT), np.float32) for _ in range(4))
+        small = [np.empty_like(c) for _ in range(2)]
+        lot, at = np.divmod(np.arange(b), LOT)
+        h = given[:, :, :n]
+        for k in range(t):
+            given[:, :, n:] = 0
+            given[0, lot, n + x[k], at] = 1
+            given[1, lot, n + x[t - 1 - k], at] = 1
+            np.matmul(w[:, None], given, out=z)
+            near_tanh(z, y, *room)
+            y[:, :, : 3 * n] += 1
+            c *= y[:, :, n : 2 * n]
+            y[:, :, :n] *= y[:, :, 3 * n :]
+            c += y[:, :, :n]
+            c *= 0.5
+            near_tanh(c, h, *small)
+            h *= y[:, :, 2 * n : 3 * n]
+            every[k, :, :n], every[t - 1 - k, :, n:] = h[0], h[1]
+        return np.matmul(out, every).transpose(1, 3, 0, 2).reshape(lots * LOT, t, TAGS)[:b] + bias
+
+    return scores
+
+
 def stretch_scores(m: dict[str, np.ndarray], parts: list[np.ndarray], spans: list[tuple[int, int]] | None = None) -> list[np.ndarray]:
-    """Tag scores of each part (of its characters from s to e, by `spans`), averaged over its overlapping windows."""
-    weight = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(float)
+    """Tag scores of each part (of its characters from s to e, by `spans`), averaged over its overlapping windows.
+
+    A part's windows depend on that part alone, so it is read alike in any company.
+    """
+    edge = READ - STRIDE
     spans = spans or [(0, len(p)) for p in parts]
-    sums = [np.zeros((e - s, TAGS)) for s, e in spans]
-    total = [np.zeros(e - s) for s, e in spans]
-    todo = []
+    sums = [np.zeros((e - s, TAGS), np.float32) for s, e in spans]
+    total = [np.zeros((e - s, 1), np.float32) for s, e in spans]
+    todo: dict[int, list[tuple[int, int]]] = {}
     for i, (p, (a, b)) in enumerate(zip(parts, spans)):
-        first = max(0, (a - WINDOW) // STRIDE + 1) * STRIDE
-        todo += [(i, s) for s in range(first, min(b, max(1, len(p) - WINDOW + STRIDE)), STRIDE)]
-    for at in range(0, len(todo), 1024):
-        some = todo[at : at + 1024]
-        x = np.full((len(some), WINDOW), 6, np.int64)  # beyond the end stand blanks
-        for row, (i, s) in enumerate(some):
-            piece = parts[i][s : s + WINDOW]
-            x[row, : len(piece)] = piece
-        scores = tag_scores(m, x.T.copy())[0].transpose(1, 0, 2)
-        for row, (i, s) in enumerate(some):
-            a, b = spans[i]
-            x0, x1 = max(s, a), min(s + WINDOW, b)
-            sums[i][x0 - a : x1 - a] += scores[row, x0 - s : x1 - s] * weight[x0 - s : x1 - s, None]
-            total[i][x0 - a : x1 - a] += weight[x0 - s : x1 - s]
-    return [s / t[:, None] for s, t in zip(sums, total)]
+        first = max(0, (a - READ) // STRIDE + 1) * STRIDE
+        for s in range(first, min(b, max(1, len(p) - edge)), STRIDE):
+            todo.setdefault(min(READ, -(-(len(p) - s) // edge) * edge), []).append((i, s))
+    read = reader(m)
+    for size, windows in todo.items():
+        weight = np.minimum(np.minimum(np.arange(1, size + 1), np.arange(size, 0, -1)), edge).astype(np.float32)[:, None]
+        for at in range(0, len(windows), ABREAST):
+            some = windows[at : at + ABREAST]
+            x = np.full((len(some), size), 6, np.int8)  # beyond the end stand blanks
+            for row, (i, s) in enumerate(some):
+                piece = parts[i][s : s + size]
+                x[row, : len(piece)] = piece
+            scores = read(x.T.astype(np.int64))
+            for row, (i, s) in enumerate(some):
+                a, b = spans[i]
+                x0, x1 = max(s, a), min(s + size, b)
+                sums[i][x0 - a : x1 - a] += scores[row, x0 - s : x1 - s] * weight[x0 - s : x1 - s]
+                total[i][x0 - a : x1 - a] += weight[x0 - s : x1 - s]
+    return [s / t for s, t in zip(sums, total)]
+
+
+def settled(move: np.ndarray, scores: list[np.ndarray]) -> list[list[int]]:
+    """Places, one in every CUT characters at most, where the best path is outside whatever stands before.
+
+    `lead` bounds what a path that ends in a tag can have over the one that ends outside: at the first place
+    whatever came before, then step by step over LEAD characters.  A tag that cannot make its lead good in
+    any next step is on no best path.  Scores are marked so that a part may begin or end there.
+    """
+    out: list[list[int]] = [[] for _ in scores]
+    where = [(i, a) for i, s in enumerate(scores) for a in range(CUT, len(s), CUT)]
+    if not where:
+        return out
+    rows = np.stack([scores[i][a - LEAD : a + 1] for i, a in where]).astype(float)
+    before, after = (move - move[:, :1]).max(axis=0), np.maximum((move - move[0]).max(axis=1), 0)
+    lead, found = before, np.full(len(where), -1)
+    for k in range(LEAD + 1):
+        if k:
+            lead = np.minimum(before, (lead[:, :, None] + move).max(axis=1) - move[0, 0])
+        lead = lead + rows[:, k] - rows[:, k, :1]
+        found[(lead + after)[:, 1:].max(axis=1) < -1e-3] = k
+    for (i, a), k in zip(where, found.tolist()):
+        if k >= 0:
+            place = a - LEAD + k
+            scores[i][place, 0], scores[i][place, 1:] = 0, -1e30
+            out[i].append(place)
+    return out
 
 
 def best_paths(move: np.ndarray, scores: list[np.ndarray]) -> list[np.ndarray]:
-    """The best tag path of each of some parts of like length."""
-    longest = max(map(len, scores))
-    s = np.zeros((longest, len(scores), TAGS))
+    """The best tag path of each of some parts of like length.
+
+    Values are kept less that of tag 0, so that single precision does for any length.
+    """
+    longest, move = max(map(len, scores)), move.astype(np.float32)
+    best = np.zeros((longest, TAGS, len(scores)), np.float32)
     for col, own in enumerate(scores):
-        s[longest - len(own) :, col] = own  # padded in front
+        best[longest - len(own) :, :, col] = own  # padded in front
     begins = np.array([longest - len(own) for own in scores])
-    back = np.zeros(s.shape, np.int8)
-    best = s[0]
+    latest = int(begins.max())
+    steps, most = np.empty((TAGS, TAGS, len(scores)), np.float32), np.empty((TAGS, len(scores)), np.float32)
     for t in range(1, longest):
-        steps = best[:, :, None] + move
-        back[t] = steps.argmax(axis=1)
-        best = np.where((begins >= t)[:, None], s[t], s[t] + steps.max(axis=1))
-    tag = best.argmax(axis=1)
+        np.add(best[t - 1][:, None], move[:, :, None], out=steps)
+        steps.max(axis=0, out=most)
+        most -= most[0].copy()
+        if latest >= t:
+            most[:, begins >= t] = 0
+        best[t] += most
+    tag = best[-1].argmax(axis=0)
     path = np.zeros((longest, len(scores)), np.int8)
-    for t in range(longest - 1, -1, -1):
+    for t in range(longest - 1, 0, -1):
         path[t] = tag
-        tag = back[t][np.arange(len(scores)), tag]
+        tag = (best[t - 1] + move[:, tag]).argmax(axis=0)
+    path[0] = tag
     return [path[begin:, col] for col, begin in enumerate(begins.tolist())]
 
 
@@ -390,22 +492,62 @@ def long_path(m: dict[str, np.ndarray], part: np.ndarray) -> np.ndarray:
     return path
 
 
-def paths(m: dict[str, np.ndarray], parts: list[np.ndarray]) -> list[np.ndarray]:
-    """The best tag path of each part; parts of like length go together, CELLS at a time."""
-    out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(parts)
-    queue = sorted(range(len(parts)), key=lambda i: len(parts[i]))
+def put_paths(move: np.ndarray, runs: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    """Writes the best path of each (scores, where it goes); runs of like length go together, CELLS at a time."""
+    runs = sorted(runs, key=lambda r: len(r[0]))
     at = 0
-    while at < len(queue):
+    while at < len(runs):
         upto = at + 1
-        while upto < len(queue) and len(parts[queue[upto]]) <= PART and (upto + 1 - at) * len(parts[queue[upto]]) <= CELLS:
+        while upto < len(runs) and (upto + 1 - at) * len(runs[upto][0]) <= CELLS:
             upto += 1
-        some = queue[at:upto]
-        if len(parts[some[0]]) > PART:
-            out[some[0]] = long_path(m, parts[some[0]])
-        else:
-            for i, path in zip(some, best_paths(m["move"], stretch_scores(m, [parts[i] for i in some]))):
-                out[i] = path
+        for (_, out), path in zip(runs[at:upto], best_paths(move, [s for s, _ in runs[at:upto]])):
+            out[:] = path
         at = upto
+
+
+def pieces(length: int, places: list[int]) -> list[tuple[int, int]]:
+    """A part cut at its settled places, each of which belongs to both sides."""
+    return [(a, b + 1) for a, b in zip([0, *places], [*places, length - 1])]
+
+
+def cut_path(m: dict[str, np.ndarray], part: np.ndarray) -> np.ndarray:
+    """The best tag path of one long part, cut where it is settled; a part with over PART characters between such places goes by long_path."""
+    path, held, begin = np.zeros(len(part), np.int8), np.zeros((0, TAGS), np.float32), 0
+    for a in range(0, len(part), PART):
+        held = np.vstack([held, *stretch_scores(m, [part], [(a, min(a + PART, len(part)))])])
+        (places,) = settled(m["move"], [held])
+        cuts = pieces(len(held), places)
+        if a + PART < len(part):
+            cuts.pop()
+        if any(e - s > PART for s, e in cuts) or not cuts and len(held) > PART:
+            return long_path(m, part)
+        put_paths(m["move"], [(held[s:e], path[begin + s : begin + e]) for s, e in cuts])
+        if places:
+            held, begin = held[places[-1] :], begin + places[-1]
+    return path
+
+
+def paths(m: dict[str, np.ndarray], parts: list[np.ndarray]) -> list[np.ndarray]:
+    """The best tag path of each part, TOGETHER characters at a time."""
+    out = [np.zeros(len(p), np.int8) for p in parts]
+    group: list[int] = []
+    held = 0
+
+    def settle() -> None:
+        scores = stretch_scores(m, [parts[i] for i in group])
+        cuts = settled(m["move"], scores)
+        put_paths(m["move"], [(s[a:b], out[i][a:b]) for i, s, places in zip(group, scores, cuts) for a, b in pieces(len(s), places)])
+
+    for i, p in enumerate(parts):
+        if len(p) > PART:
+            out[i] = cut_path(m, p)
+        elif len(p):
+            if held + len(p) > TOGETHER:
+                settle()
+                group, held = [], 0
+            group.append(i)
+            held += len(p)
+    settle()
     return out
 
 
@@ -421,32 +563,26 @@ def sound(kind: str, item: str) -> bool:
     return 12 <= d <= 19 if kind == "card" else 9 <= d <= 15
 
 
+def tagged(path: np.ndarray) -> list[tuple[int, int, int]]:
+    """(kind's number, start, end) of each run of a path that begins with a tag and goes on by the same kind's inside."""
+    before, after = np.r_[np.int8(0), path[:-1]], np.r_[path[1:], np.int8(0)]
+    goes_on = (path > 0) & (path % 2 == 0) & ((before == path) | (before == path - 1))
+    starts = np.flatnonzero((path > 0) & ~goes_on)
+    ends = np.flatnonzero((path > 0) & ((after == 0) | ~np.r_[goes_on[1:], False])) + 1
+    return list(zip(((path[starts] - 1) // 2).tolist(), starts.tolist(), ends.tolist()))
+
+
 def network_spans(m: dict[str, np.ndarray], texts: list[str]) -> list[list[Span]]:
-    where = [(i, s, e) for i, text in enumerate(texts) for s, e in stretches(text)]
+    """Sound spans on the best tag path of each whole text."""
     out: list[list[Span]] = [[] for _ in texts]
-    if not where:
-        return out
-    parts = [char_classes(texts[i][s:e]) for i, s, e in where]
-    for (i, s, _), path in zip(where, paths(m, parts)):
-        at, marked = 0, np.flatnonzero(path)
-        while at < len(path):
-            if not path[at]:  # on to the next tag within a span
-                k = int(np.searchsorted(marked, at))
-                if k == len(marked):
-                    break
-                at = int(marked[k])
-            tag, start = int(path[at]), at
-            at += 1
-            kind = (tag - 1) // 2
-            while at < len(path) and path[at] == 2 + 2 * kind:
-                at += 1
-            a, b = s + start, s + at
-            while a < b and not (texts[i][a].isalnum() or texts[i][a] in "+("):
+    for own, text, path in zip(out, texts, paths(m, [char_classes(t) for t in texts])):
+        for kind, a, b in tagged(path):
+            while a < b and not (text[a].isalnum() or text[a] in "+("):
                 a += 1
-            while b > a and not texts[i][b - 1].isalnum():
+            while b > a and not text[b - 1].isalnum():
                 b -= 1
-            if sound(KINDS[kind], texts[i][a:b]):
-                out[i].append((KINDS[kind], a, b))
+            if sound(KINDS[kind], text[a:b]):
+                own.append((KINDS[kind], a, b))
     return out
 
 
