@@ -1,9 +1,9 @@
-"""The network of op1 reads every character, and cuts change no path."""
+"""The network of op1 reads every character, and cuts change no path; the states of op3 start from all training texts."""
 
 import numpy as np
 import pytest
 
-from keyedstore.llm import pii
+from keyedstore.llm import hmm, pii
 
 
 def network():
@@ -62,3 +62,34 @@ def test_company_changes_no_scores():
 def test_runs_of_tags():
     path = np.array([2, 2, 0, 1, 2, 1, 4, 4, 3, 4, 0, 5, 5, 6, 8], np.int8)
     assert pii.tagged(path) == [(0, 0, 2), (0, 3, 5), (0, 5, 6), (1, 6, 8), (1, 8, 10), (2, 11, 12), (2, 12, 14), (3, 14, 15)] and pii.tagged(path[:0]) == []
+
+
+def test_states_start_from_all_training_texts(spark, monkeypatch):
+    """Each round of the mixtures, by naive sums over 1700 different texts."""
+    rounds, real = [], hmm.mixed
+    monkeypatch.setattr(hmm, "mixed", lambda texts, end, starts: rounds.append((end, starts, real(texts, end, starts))) or rounds[-1][2])
+    monkeypatch.setattr(hmm, "HEAD", 40)
+    texts = [f"w{i} a{i % 7} b{i % 11} " + f"c{i % 3} " * (i % 5) for i in range(1700)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    hmm.score(docs, docs, rounds=0)
+    words = [(t or "").encode().split() for t in texts]
+    assert len(rounds) == hmm.ABREAST + hmm.ALONE and [len(x) for _, x, _ in rounds] == [hmm.INIT] * hmm.ABREAST + [1] * hmm.ALONE
+    for end, starts, got in rounds:
+        for (logs, mean), (fit, share, emits) in zip(starts, got):
+            assert share.sum() == pytest.approx(1702) and emits.sum() == pytest.approx(sum(map(len, words)) + 1702)
+    count = {}
+    for w in (w for ws in words for w in ws):
+        count[w] = count.get(w, 0) + 1
+    head = {w: k for k, w in enumerate(sorted(count, key=lambda w: (-count[w], hmm.word_key(w)))[:40])}
+    end, starts, got = rounds[0]
+    for (logs, mean), (fit, share, emits) in zip(starts, got):
+        total, shares, want = 0.0, np.zeros(hmm.STATES), np.zeros(emits.shape)
+        for ws in words:
+            symbols = [head[w] if w in head else end + 1 + hmm.word_key(w) % 256 for w in ws] + [end]
+            x = np.log(mean) + sum(logs[:, y] for y in symbols)
+            total += np.logaddexp.reduce(x)
+            p = np.exp(x - np.logaddexp.reduce(x))
+            shares += p
+            for y in symbols:
+                want[y] += p
+        assert fit == pytest.approx(total, rel=1e-6) and share == pytest.approx(shares, rel=1e-5) and np.abs(emits - want).max() < 1e-4
