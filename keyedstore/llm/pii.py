@@ -45,7 +45,7 @@ READ, STRIDE, ABREAST = 256, 224, 480
 #: Windows of one matrix product: so small that the product never spreads over threads, which would burn several times the work.
 LOT = 96
 #: A path is cut once in so many characters, after so many that show it to be outside; characters whose scores are held together.
-CUT, LEAD, TOGETHER = 256, 24, 1 << 20
+CUT, LEAD, TOGETHER = 256, 64, 1 << 20
 HIDDEN = 16
 STEPS, BATCH = 400, 32
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
@@ -418,14 +418,15 @@ def settled(move: np.ndarray, scores: list[np.ndarray]) -> list[list[int]]:
     where = [(i, a) for i, s in enumerate(scores) for a in range(CUT, len(s), CUT)]
     if not where:
         return out
-    rows = np.stack([scores[i][a - LEAD : a + 1] for i, a in where]).astype(float)
-    before, after = (move - move[:, :1]).max(axis=0), np.maximum((move - move[0]).max(axis=1), 0)
+    rows = np.stack([scores[i][a - LEAD : a + 1] for i, a in where], axis=2).astype(float)  # place x tag x where
+    before, after = (move - move[:, :1]).max(axis=0)[:, None], np.maximum((move - move[0]).max(axis=1), 0)[:, None]
+    rows -= rows[:, :1].copy()
     lead, found = before, np.full(len(where), -1)
     for k in range(LEAD + 1):
         if k:
-            lead = np.minimum(before, (lead[:, :, None] + move).max(axis=1) - move[0, 0])
-        lead = lead + rows[:, k] - rows[:, k, :1]
-        found[(lead + after)[:, 1:].max(axis=1) < -1e-3] = k
+            lead = np.minimum(before, (lead[:, None] + move[:, :, None]).max(axis=0) - move[0, 0])
+        lead = lead + rows[k]
+        found[(lead + after)[1:].max(axis=0) < -1e-3] = k
     for (i, a), k in zip(where, found.tolist()):
         if k >= 0:
             place = a - LEAD + k
@@ -492,8 +493,39 @@ def long_path(m: dict[str, np.ndarray], part: np.ndarray) -> np.ndarray:
     return path
 
 
+def quiet(move: np.ndarray, scores: list[np.ndarray]) -> np.ndarray:
+    """Whether the best path of each part is sure to be outside throughout.
+
+    A stay in other tags is a row of segments, each in one kind's tags.  `most` bounds what a segment that ends
+    at a character gains over outside: the dearer of stepping in from outside and back (`back`, paid once a stay) and of
+    coming from another kind's tags, then the kind's better tag and best step for each character.  Where no segment
+    gains, no stay does; one that lasts to the part's end takes no step back, and one from its start no step in.
+    What is carried over from the part before only widens the bound.  This, too, changes no path.
+    """
+    move = move - move[0, 0]
+    back = float(move[1:, 0].max())
+    ends = np.cumsum([len(s) for s in scores])
+    begins = np.r_[0, ends[:-1]]
+    whole = np.concatenate(scores)
+    outside = whole[:, 0].copy()
+    out = np.ones(len(scores), bool)
+    for b in range(1, TAGS, 2):
+        others = [j for j in range(1, TAGS) if j not in (b, b + 1)]
+        enter = np.maximum(move[0, b : b + 2] + back, move[others, b : b + 2].max(axis=0)).astype(np.float32)
+        one, two = (np.maximum(whole[:, k] - outside, np.float32(-100)) for k in (b, b + 1))
+        best = np.maximum(one, two)
+        entry = np.maximum(one + enter[0], two + enter[1]).astype(float)
+        entry[begins] = np.maximum(entry[begins], best[begins] + max(back, 0))
+        so_far = np.cumsum(best + move[b : b + 2, b : b + 2].max(), dtype=float)
+        most = so_far + np.maximum.accumulate(entry - so_far)
+        out &= (np.maximum.reduceat(most, begins) < -1e-3) & (most[ends - 1] < min(back, 0) - 1e-3)
+    return out
+
+
 def put_paths(move: np.ndarray, runs: list[tuple[np.ndarray, np.ndarray]]) -> None:
-    """Writes the best path of each (scores, where it goes); runs of like length go together, CELLS at a time."""
+    """Writes the best path of each (scores, where it goes, all outside so far); runs of like length go together, CELLS at a time."""
+    if runs:
+        runs = [r for r, still in zip(runs, quiet(move, [s for s, _ in runs]).tolist()) if not still]
     runs = sorted(runs, key=lambda r: len(r[0]))
     at = 0
     while at < len(runs):
@@ -576,7 +608,7 @@ def network_spans(m: dict[str, np.ndarray], texts: list[str]) -> list[list[Span]
     """Sound spans on the best tag path of each whole text."""
     out: list[list[Span]] = [[] for _ in texts]
     for own, text, path in zip(out, texts, paths(m, [char_classes(t) for t in texts])):
-        for kind, a, b in tagged(path):
+        for kind, a, b in tagged(path) if path.any() else ():
             while a < b and not (text[a].isalnum() or text[a] in "+("):
                 a += 1
             while b > a and not text[b - 1].isalnum():

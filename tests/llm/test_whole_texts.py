@@ -59,6 +59,26 @@ def test_company_changes_no_scores():
     assert pii.stretch_scores(m, parts[:1])[0] == pytest.approx(want, abs=0.1)
 
 
+def test_quiet_parts_stay_outside():
+    """By naive paths under moves and scores by chance: short parts, parts cut at both ends, steps back that cost and that pay."""
+    rng = np.random.default_rng(8)
+    seen = 0
+    for trial in range(300):
+        move = rng.normal(0, 1, (pii.TAGS, pii.TAGS)) - rng.random() * 2
+        move[0, 0] += 3 * rng.random()
+        scores = [(rng.normal(0, 1, (n, pii.TAGS)) - np.r_[0, np.full(pii.TAGS - 1, 1 + 2 * rng.random())]).astype(np.float32) for n in (1, 2, 9, 40)]
+        for s in scores[2:]:
+            if trial % 2:
+                s[[0, -1]] = np.r_[0, np.full(pii.TAGS - 1, -1e30)]
+        still = pii.quiet(move, scores)
+        seen += still.sum()
+        assert not any(naive(move, s).any() for s, q in zip(scores, still) if q)
+        for own, path in zip(scores, [np.zeros(len(s), np.int8) for s in scores]):
+            pii.put_paths(move, [(own, path)])
+            assert (path == naive(move, own)).all()
+    assert seen >= 100
+
+
 def test_runs_of_tags():
     path = np.array([2, 2, 0, 1, 2, 1, 4, 4, 3, 4, 0, 5, 5, 6, 8], np.int8)
     assert pii.tagged(path) == [(0, 0, 2), (0, 3, 5), (0, 5, 6), (1, 6, 8), (1, 8, 10), (2, 11, 12), (2, 12, 14), (3, 14, 15)] and pii.tagged(path[:0]) == []
