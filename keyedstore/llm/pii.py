@@ -43,9 +43,11 @@ WINDOW, REACH = 64, 24
 #: Characters of the windows that texts are read in, from one's start to the next, and windows read abreast.
 READ, STRIDE, ABREAST = 256, 224, 480
 #: Windows of one matrix product: so small that the product never spreads over threads, which would burn several times the work.
-LOT = 96
+LOT = 80
 #: A path is cut once in so many characters, after so many that show it to be outside; characters whose scores are held together.
 CUT, LEAD, TOGETHER = 256, 64, 1 << 20
+#: Places that are looked at before those already cut are left out.
+STEP = 8
 HIDDEN = 16
 STEPS, BATCH = 400, 32
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
@@ -62,11 +64,14 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 GATE = re.compile(r"[\d@]|\b[Dd][Oo][Tt]\b")
 #: Characters whose windows are scored, and cells (characters times runs) whose paths are found together.
 PART, CELLS = 1 << 16, 1 << 18
+#: Characters whose parts are shown to be outside together.
+SEEN = 1 << 14
 # How an at sign and a full stop are spelled out.
 SPELLED_AT, SPELLED_DOT = re.compile(r"\s*[(\[{]\s*at\s*[)\]}]\s*|\s+at\s+", re.I), re.compile(r"\s*[(\[{]\s*dot\s*[)\]}]\s*|\s+dot\s+", re.I)
 
 
 _DECIMALS: dict[int, str] = {}
+_DIGITS: list[np.ndarray] = []
 
 
 def decimals() -> dict[int, str]:
@@ -76,6 +81,13 @@ def decimals() -> dict[int, str]:
     return _DECIMALS
 
 
+def other_digits() -> np.ndarray:
+    """The codes of `decimals`, ascending."""
+    if not _DIGITS:
+        _DIGITS.append(np.array(sorted(decimals()), np.uint32))
+    return _DIGITS[0]
+
+
 def plain_digits(text: str) -> str:
     return text if text.isascii() else text.translate(decimals())
 
@@ -133,7 +145,7 @@ def char_classes(text: str) -> np.ndarray:
     table[192:] = 4
     out = table[np.minimum(codes, 256)]
     if not text.isascii():  # digits of other scripts are digits
-        digits = np.array(sorted(decimals()), np.uint32)
+        digits = other_digits()
         high = np.flatnonzero(codes >= digits[0])
         out[high[digits[np.minimum(np.searchsorted(digits, codes[high]), len(digits) - 1)] == codes[high]]] = 1
     return out
@@ -325,52 +337,64 @@ def stretches(text: str) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-def near_tanh(x: np.ndarray, out: np.ndarray, square: np.ndarray, below: np.ndarray) -> None:
-    """tanh to within 0.002, by a quotient of polynomials."""
-    np.clip(x, -3.6, 3.6, out=out)
-    np.multiply(out, out, out=square)
-    np.multiply(square, 15, out=below)
-    below += 420
-    below *= square
-    below += 945
-    out /= below
-    np.add(square, 105, out=below)
-    below *= square
-    below += 945
-    out *= below
+def reader(m: dict[str, np.ndarray]) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Tag scores of windows (batch x time of classes, and their sizes, the longest first) in single precision, for reading only: batch x tags x time.
 
-
-def reader(m: dict[str, np.ndarray]) -> Callable[[np.ndarray], np.ndarray]:
-    """Tag scores of windows (time x batch of classes) in single precision, for reading only: batch x time x tags."""
+    Each direction starts at its own end of every window, so windows of any sizes go abreast.  The product that gives a
+    step's gates also gives what the state before it adds to its own tag scores.
+    """
     n = m["fh"].shape[0]
     half = np.r_[np.full(3 * n, 0.5), np.ones(n)]  # the logistic function by tanh of the half; gates and states are kept doubled
-    w = np.stack([np.vstack([m["fh"] / 2, m["fx"]]) * half, np.vstack([m["bh"] / 2, m["bx"]]) * half]).transpose(0, 2, 1).astype(np.float32)
-    out, bias = m["out"].T.astype(np.float32) / 2, m["bias"].astype(np.float32)
+    tags = np.split(m["out"] / 2, 2)
+    w = np.stack([np.hstack([np.vstack([m[h] / 2, m[x]]) * half, np.vstack([own, np.zeros((CLASSES, TAGS))])]) for h, x, own in zip(("fh", "bh"), ("fx", "bx"), tags)])
+    w = w.transpose(0, 2, 1).astype(np.float32)[:, None]
+    last, bias = w[:, :, 4 * n :, :n].copy(), m["bias"].astype(np.float32)[:, None]
 
-    def scores(x: np.ndarray) -> np.ndarray:
-        t, b = x.shape
+    def scores(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        b, t = x.shape
         lots = -(-b // LOT)
+        # gates lie row by row, so that each step works on one stretch of memory; states lie lot by lot for the product
         given = np.zeros((2, lots, n + CLASSES, LOT), np.float32)  # the state above the class, one of CLASSES
-        c, every = np.zeros((2, lots, n, LOT), np.float32), np.empty((t, lots, 2 * n, LOT), np.float32)
-        z, y, *room = (np.empty((2, lots, 4 * n, LOT), np.float32) for _ in range(4))
-        small = [np.empty_like(c) for _ in range(2)]
+        z, c = np.empty((4 * n + TAGS, 2, lots, LOT), np.float32), np.zeros((n, 2, lots, LOT), np.float32)
+        every, new = np.empty((t + 1, TAGS, 2, lots, LOT), np.float32), np.empty_like(c)
+        back = np.full_like(x, 6)
+        for size in np.unique(sizes).tolist():
+            back[sizes == size, :size] = x[sizes == size, :size][:, ::-1]
         lot, at = np.divmod(np.arange(b), LOT)
-        h = given[:, :, :n]
-        for k in range(t):
-            given[:, :, n:] = 0
-            given[0, lot, n + x[k], at] = 1
-            given[1, lot, n + x[t - 1 - k], at] = 1
-            np.matmul(w[:, None], given, out=z)
-            near_tanh(z, y, *room)
-            y[:, :, : 3 * n] += 1
-            c *= y[:, :, n : 2 * n]
-            y[:, :, :n] *= y[:, :, 3 * n :]
-            c += y[:, :, :n]
-            c *= 0.5
-            near_tanh(c, h, *small)
-            h *= y[:, :, 2 * n : 3 * n]
-            every[k, :, :n], every[t - 1 - k, :, n:] = h[0], h[1]
-        return np.matmul(out, every).transpose(1, 3, 0, 2).reshape(lots * LOT, t, TAGS)[:b] + bias
+        where = np.stack([x, back]).transpose(2, 0, 1).astype(np.int64) * LOT + ((lot * (n + CLASSES) + n) * LOT + at)
+        where[:, 1] += given.size // 2
+        where, cells, ones = where.reshape(t, 2 * b), given.reshape(-1), np.ones(2 * b, np.float32)
+        active = -(-np.searchsorted(-sizes, -np.arange(t), side="right") // LOT)  # lots in which a window is not yet read and given out
+        for some in np.unique(active)[::-1].tolist():
+            input_, state, kinds = given[:, :some], given[:, :some, :n].transpose(2, 0, 1, 3), given[:, :some, n:]
+            own = z[:, :, :some]
+            product, y, gates, more = own.transpose(1, 2, 0, 3), own[: 4 * n], own[: 3 * n], own[4 * n :]
+            i, f, o, g = (own[j * n : (j + 1) * n] for j in range(4))
+            cell, state_now, given_out = c[:, :, :some], new[:, :, :some], every[:, :, :, :some]
+            for k in np.flatnonzero(active == some).tolist():
+                kinds.fill(0)
+                cells[where[k]] = ones
+                np.matmul(w, input_, out=product)
+                given_out[k] = more
+                np.tanh(y, out=y)
+                gates += 1
+                cell *= f
+                i *= g
+                cell += i
+                cell *= 0.5
+                np.tanh(cell, out=state_now)
+                np.multiply(state_now, o, out=state)
+        every[t] = np.matmul(last, given[:, :, :n]).transpose(2, 0, 1, 3)
+        every = every[1:].reshape(t, TAGS, 2, lots * LOT)
+        out = np.zeros((b, TAGS, t), np.float32)
+        begin = 0
+        for end in [*(np.flatnonzero(np.diff(sizes)) + 1).tolist(), b]:
+            size = int(sizes[begin])
+            whole = every[:size, :, 0, begin:end] + every[size - 1 :: -1, :, 1, begin:end]
+            whole += bias
+            out[begin:end, :, :size] = whole.transpose(2, 1, 0)
+            begin = end
+        return out
 
     return scores
 
@@ -378,33 +402,34 @@ def reader(m: dict[str, np.ndarray]) -> Callable[[np.ndarray], np.ndarray]:
 def stretch_scores(m: dict[str, np.ndarray], parts: list[np.ndarray], spans: list[tuple[int, int]] | None = None) -> list[np.ndarray]:
     """Tag scores of each part (of its characters from s to e, by `spans`), averaged over its overlapping windows.
 
-    A part's windows depend on that part alone, so it is read alike in any company.
+    A part's windows depend on that part alone, so it is read alike in any company.  A tag's scores stand side by side.
     """
     edge = READ - STRIDE
     spans = spans or [(0, len(p)) for p in parts]
-    sums = [np.zeros((e - s, TAGS), np.float32) for s, e in spans]
-    total = [np.zeros((e - s, 1), np.float32) for s, e in spans]
-    todo: dict[int, list[tuple[int, int]]] = {}
+    sums = [np.zeros((TAGS + 1, e - s), np.float32) for s, e in spans]  # weighted scores, then weights
+    windows: list[tuple[int, int, int]] = []
     for i, (p, (a, b)) in enumerate(zip(parts, spans)):
         first = max(0, (a - READ) // STRIDE + 1) * STRIDE
         for s in range(first, min(b, max(1, len(p) - edge)), STRIDE):
-            todo.setdefault(min(READ, -(-(len(p) - s) // edge) * edge), []).append((i, s))
+            windows.append((i, s, min(READ, -(-(len(p) - s) // edge) * edge)))
+    windows.sort(key=lambda w: -w[2])
     read = reader(m)
-    for size, windows in todo.items():
-        weight = np.minimum(np.minimum(np.arange(1, size + 1), np.arange(size, 0, -1)), edge).astype(np.float32)[:, None]
-        for at in range(0, len(windows), ABREAST):
-            some = windows[at : at + ABREAST]
-            x = np.full((len(some), size), 6, np.int8)  # beyond the end stand blanks
-            for row, (i, s) in enumerate(some):
-                piece = parts[i][s : s + size]
-                x[row, : len(piece)] = piece
-            scores = read(x.T.astype(np.int64))
-            for row, (i, s) in enumerate(some):
-                a, b = spans[i]
-                x0, x1 = max(s, a), min(s + size, b)
-                sums[i][x0 - a : x1 - a] += scores[row, x0 - s : x1 - s] * weight[x0 - s : x1 - s]
-                total[i][x0 - a : x1 - a] += weight[x0 - s : x1 - s]
-    return [s / t for s, t in zip(sums, total)]
+    for at in range(0, len(windows), ABREAST):
+        some = windows[at : at + ABREAST]
+        sizes = np.array([size for _, _, size in some])
+        x = np.full((len(some), some[0][2]), 6, np.int8)  # beyond the end stand blanks
+        for row, (i, s, size) in enumerate(some):
+            piece = parts[i][s : s + size]
+            x[row, : len(piece)] = piece
+        time = np.arange(x.shape[1])
+        scores = np.empty((len(some), TAGS + 1, x.shape[1]), np.float32)
+        scores[:, TAGS] = np.minimum(np.minimum(time + 1, sizes[:, None] - time), edge)
+        np.multiply(read(x, sizes), scores[:, TAGS:], out=scores[:, :TAGS])
+        for row, (i, s, size) in enumerate(some):
+            a, b = spans[i]
+            x0, x1 = max(s, a), min(s + size, b)
+            sums[i][:, x0 - a : x1 - a] += scores[row, :, x0 - s : x1 - s]
+    return [np.divide(s[:TAGS], s[TAGS]).T for s in sums]
 
 
 def settled(move: np.ndarray, scores: list[np.ndarray]) -> list[list[int]]:
@@ -418,15 +443,21 @@ def settled(move: np.ndarray, scores: list[np.ndarray]) -> list[list[int]]:
     where = [(i, a) for i, s in enumerate(scores) for a in range(CUT, len(s), CUT)]
     if not where:
         return out
-    rows = np.stack([scores[i][a - LEAD : a + 1] for i, a in where], axis=2).astype(float)  # place x tag x where
     before, after = (move - move[:, :1]).max(axis=0)[:, None], np.maximum((move - move[0]).max(axis=1), 0)[:, None]
-    rows -= rows[:, :1].copy()
-    lead, found = before, np.full(len(where), -1)
-    for k in range(LEAD + 1):
-        if k:
-            lead = np.minimum(before, (lead[:, None] + move[:, :, None]).max(axis=0) - move[0, 0])
-        lead = lead + rows[k]
-        found[(lead + after)[1:].max(axis=0) < -1e-3] = k
+    lead, found, still = before, np.full(len(where), -1), np.arange(len(where))
+    for begin in range(0, LEAD + 1, STEP):
+        end = min(begin + STEP, LEAD + 1)
+        rows = np.stack([scores[i][a - LEAD + begin : a - LEAD + end] for i, a in (where[w] for w in still.tolist())], axis=2).astype(float)  # place x tag x where
+        rows -= rows[:, :1].copy()
+        for k in range(begin, end):
+            if k:
+                lead = np.minimum(before, (lead[:, None] + move[:, :, None]).max(axis=0) - move[0, 0])
+            lead = lead + rows[k - begin]
+            found[still[(lead + after)[1:].max(axis=0) < -1e-3]] = k
+        open_ = found[still] < 0
+        still, lead = still[open_], lead[:, open_]
+        if not len(still):
+            break
     for (i, a), k in zip(where, found.tolist()):
         if k >= 0:
             place = a - LEAD + k
@@ -436,7 +467,7 @@ def settled(move: np.ndarray, scores: list[np.ndarray]) -> list[list[int]]:
 
 
 def best_paths(move: np.ndarray, scores: list[np.ndarray]) -> list[np.ndarray]:
-    """The best tag path of each of some parts of like length.
+    """The best tag path of each of some parts of like length, the shortest first.
 
     Values are kept less that of tag 0, so that single precision does for any length.
     """
@@ -445,20 +476,22 @@ def best_paths(move: np.ndarray, scores: list[np.ndarray]) -> list[np.ndarray]:
     for col, own in enumerate(scores):
         best[longest - len(own) :, :, col] = own  # padded in front
     begins = np.array([longest - len(own) for own in scores])
-    latest = int(begins.max())
+    later = np.searchsorted(-begins, -np.arange(longest), side="right").tolist()  # parts that begin at a place or later come first
     steps, most = np.empty((TAGS, TAGS, len(scores)), np.float32), np.empty((TAGS, len(scores)), np.float32)
     for t in range(1, longest):
         np.add(best[t - 1][:, None], move[:, :, None], out=steps)
         steps.max(axis=0, out=most)
         most -= most[0].copy()
-        if latest >= t:
-            most[:, begins >= t] = 0
+        if later[t]:
+            most[:, : later[t]] = 0
         best[t] += most
     tag = best[-1].argmax(axis=0)
     path = np.zeros((longest, len(scores)), np.int8)
     for t in range(longest - 1, 0, -1):
         path[t] = tag
-        tag = (best[t - 1] + move[:, tag]).argmax(axis=0)
+        np.add(best[t - 1], move.take(tag, axis=1), out=most)
+        top = most.max(axis=0)
+        tag = (most == top).argmax(axis=0)
     path[0] = tag
     return [path[begin:, col] for col, begin in enumerate(begins.tolist())]
 
@@ -506,27 +539,35 @@ def quiet(move: np.ndarray, scores: list[np.ndarray]) -> np.ndarray:
     back = float(move[1:, 0].max())
     ends = np.cumsum([len(s) for s in scores])
     begins = np.r_[0, ends[:-1]]
-    whole = np.concatenate(scores)
-    outside = whole[:, 0].copy()
+    gains = np.concatenate([s.T for s in scores], axis=1)  # tags x characters
+    gains = np.maximum(gains[1:] - gains[0], np.float32(-100))
     out = np.ones(len(scores), bool)
     for b in range(1, TAGS, 2):
         others = [j for j in range(1, TAGS) if j not in (b, b + 1)]
         enter = np.maximum(move[0, b : b + 2] + back, move[others, b : b + 2].max(axis=0)).astype(np.float32)
-        one, two = (np.maximum(whole[:, k] - outside, np.float32(-100)) for k in (b, b + 1))
+        one, two = gains[b - 1], gains[b]
         best = np.maximum(one, two)
         entry = np.maximum(one + enter[0], two + enter[1]).astype(float)
         entry[begins] = np.maximum(entry[begins], best[begins] + max(back, 0))
         so_far = np.cumsum(best + move[b : b + 2, b : b + 2].max(), dtype=float)
-        most = so_far + np.maximum.accumulate(entry - so_far)
+        entry -= so_far
+        most = np.maximum.accumulate(entry, out=entry)
+        most += so_far
         out &= (np.maximum.reduceat(most, begins) < -1e-3) & (most[ends - 1] < min(back, 0) - 1e-3)
     return out
 
 
 def put_paths(move: np.ndarray, runs: list[tuple[np.ndarray, np.ndarray]]) -> None:
     """Writes the best path of each (scores, where it goes, all outside so far); runs of like length go together, CELLS at a time."""
-    if runs:
-        runs = [r for r, still in zip(runs, quiet(move, [s for s, _ in runs]).tolist()) if not still]
-    runs = sorted(runs, key=lambda r: len(r[0]))
+    loud, at = [], 0
+    while at < len(runs):
+        upto, held = at, 0
+        while upto < len(runs) and held < SEEN:
+            held += len(runs[upto][0])
+            upto += 1
+        loud += [r for r, still in zip(runs[at:upto], quiet(move, [s for s, _ in runs[at:upto]]).tolist()) if not still]
+        at = upto
+    runs = sorted(loud, key=lambda r: len(r[0]))
     at = 0
     while at < len(runs):
         upto = at + 1

@@ -59,6 +59,19 @@ def test_company_changes_no_scores():
     assert pii.stretch_scores(m, parts[:1])[0] == pytest.approx(want, abs=0.1)
 
 
+def test_windows_of_all_sizes_are_read_abreast(monkeypatch):
+    """One pass for eight sizes, with the scores of the network in double precision."""
+    m = network()
+    parts = [pii.char_classes(("call 644 555 1234 or jo(at)host.net " * 8)[:n]) for n in range(30, 260, 32)]
+    calls, real = [], pii.reader
+    monkeypatch.setattr(pii, "reader", lambda m: lambda *a, read=real(m): calls.append(a) or read(*a))
+    got = pii.stretch_scores(m, parts)
+    assert len(calls) == 1
+    for p, s in zip(parts, got):
+        x = np.r_[p, np.full(-len(p) % 32, 6)]
+        assert s == pytest.approx(pii.tag_scores(m, x[:, None])[0][: len(p), 0], abs=2e-3)
+
+
 def test_quiet_parts_stay_outside():
     """By naive paths under moves and scores by chance: short parts, parts cut at both ends, steps back that cost and that pay."""
     rng = np.random.default_rng(8)
