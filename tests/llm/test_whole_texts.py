@@ -126,3 +126,25 @@ def test_states_start_from_all_training_texts(spark, monkeypatch):
             for y in symbols:
                 want[y] += p
         assert fit == pytest.approx(total, rel=1e-6) and share == pytest.approx(shares, rel=1e-5) and np.abs(emits - want).max() < 1e-4
+
+
+def test_each_text_is_encoded_once(spark, monkeypatch, tmp_path):
+    """A training text's symbols are written down for the states and for its score alike; the score is that of separate tables."""
+    texts = [f"w{i % 90} a{i % 7} b{i % 11} " + f"c{i % 3} " * (i % 5) for i in range(300)] + ["", None, "éa ñ"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(hmm, "HEAD", 40)
+    seen, real = str(tmp_path / "seen"), hmm.encode
+
+    def encode(*a):
+        with open(seen, "a") as f:
+            f.write("x")
+        return real(*a)
+
+    monkeypatch.setattr(hmm, "encode", encode)
+    got = sorted(hmm.score(docs, docs).collect())
+    with open(seen) as f:
+        assert len(f.read()) == len(texts)
+    other = sorted(hmm.score(docs, docs.select("*")).collect())
+    assert [r[:4] for r in got] == [r[:4] for r in other] and [r[4:] for r in got] == [pytest.approx(r[4:]) for r in other]
+    words = [b"a", b"ab", b"abc", "éa".encode(), b"longer word"]
+    assert hmm.word_keys(words).tolist() == [hmm.word_key(w) for w in words] and not len(hmm.word_keys([]))
