@@ -5,14 +5,20 @@ The network, trained in numpy from labelled spans, adds written forms that they
 miss.  Labelled spans are pattern spans of at most SAMPLE documents, part of them
 rewritten in other forms, with look-alikes that are no personal data.
 
-The network reads every character of every text, in overlapping windows of READ; a
-character's tag scores are averaged over its windows, weighted by the distance from the
-window's edge, and the best tag path is that of the whole text, whatever its length.  So
-that many paths are found together, a text is cut where the scores prove that the best
-path is outside whatever stands before and after; this changes no path.  A long text with
-no such place is worked on in parts of PART characters: the scores at each part's start
-are kept on the way forward, and a part's steps are worked out again on the way back, so
-memory does not grow with a text but for a byte or so a character.
+The network's spans are those of the best tag path of the whole text, whatever its length.
+It reads in overlapping windows of READ; a character's tag scores are averaged over its
+windows, weighted by the distance from the window's edge.  So that many paths are found
+together, a text is cut where the scores prove that the best path is outside whatever
+stands before and after; this changes no path.  A long text with no such place is worked on
+in parts of PART characters: the scores at each part's start are kept on the way forward,
+and a part's steps are worked out again on the way back, so memory does not grow with a
+text but for a byte or so a character.
+
+Only sound spans are given out, and each of these holds a decimal digit, an at sign or a
+spelled one: a seed.  Every character of every text is looked at for seeds; of the path,
+only what lies about a seed is worked out, up to places on both sides where it is proven to
+be outside whatever stands beyond.  Windows that no such stretch needs are not read.  Where
+the proof fails the stretch widens, up to the whole text, so spans are those of the whole path.
 
 Null and empty texts have no spans.  Repeated rows are read one by one; a null id stays
 null.  Of equally good paths the one with the lower tags holds.  Spans are ordered by
@@ -48,6 +54,8 @@ LOT = 80
 CUT, LEAD, TOGETHER = 256, 64, 1 << 20
 #: Places that are looked at before those already cut are left out.
 STEP = 8
+#: Characters on either side of a seed in which a stretch is first tried to be cut.
+NEAR = 24
 HIDDEN = 16
 STEPS, BATCH = 400, 32
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
@@ -62,6 +70,8 @@ IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 GATE = re.compile(r"[\d@]|\b[Dd][Oo][Tt]\b")
+#: What every match of SPELLED_AT holds.
+SEED_AT = re.compile(r"[\s(\[{][Aa][Tt](?=[\s)\]}])")
 #: Characters whose windows are scored, and cells (characters times runs) whose paths are found together.
 PART, CELLS = 1 << 16, 1 << 18
 #: Characters whose parts are shown to be outside together.
@@ -432,22 +442,24 @@ def stretch_scores(m: dict[str, np.ndarray], parts: list[np.ndarray], spans: lis
     return [np.divide(s[:TAGS], s[TAGS]).T for s in sums]
 
 
-def settled(move: np.ndarray, scores: list[np.ndarray]) -> list[list[int]]:
+def settled(move: np.ndarray, scores: list[np.ndarray], tried: list[tuple[int, int]] | None = None, reach: int = LEAD) -> list[list[int]]:
     """Places, one in every CUT characters at most, where the best path is outside whatever stands before.
 
+    `tried`: (which scores, place) instead; a place found is at most `reach` before one of these.
+
     `lead` bounds what a path that ends in a tag can have over the one that ends outside: at the first place
     whatever came before, then step by step over LEAD characters.  A tag that cannot make its lead good in
     any next step is on no best path.  Scores are marked so that a part may begin or end there.
     """
     out: list[list[int]] = [[] for _ in scores]
-    where = [(i, a) for i, s in enumerate(scores) for a in range(CUT, len(s), CUT)]
+    where = [(i, a) for i, s in enumerate(scores) for a in range(CUT, len(s), CUT)] if tried is None else tried
     if not where:
         return out
     before, after = (move - move[:, :1]).max(axis=0)[:, None], np.maximum((move - move[0]).max(axis=1), 0)[:, None]
     lead, found, still = before, np.full(len(where), -1), np.arange(len(where))
-    for begin in range(0, LEAD + 1, STEP):
-        end = min(begin + STEP, LEAD + 1)
-        rows = np.stack([scores[i][a - LEAD + begin : a - LEAD + end] for i, a in (where[w] for w in still.tolist())], axis=2).astype(float)  # place x tag x where
+    for begin in range(0, reach + 1, STEP):
+        end = min(begin + STEP, reach + 1)
+        rows = np.stack([scores[i][a - reach + begin : a - reach + end] for i, a in (where[w] for w in still.tolist())], axis=2).astype(float)  # place x tag x where
         rows -= rows[:, :1].copy()
         for k in range(begin, end):
             if k:
@@ -460,7 +472,7 @@ def settled(move: np.ndarray, scores: list[np.ndarray]) -> list[list[int]]:
             break
     for (i, a), k in zip(where, found.tolist()):
         if k >= 0:
-            place = a - LEAD + k
+            place = a - reach + k
             scores[i][place, 0], scores[i][place, 1:] = 0, -1e30
             out[i].append(place)
     return out
@@ -624,8 +636,97 @@ def paths(m: dict[str, np.ndarray], parts: list[np.ndarray]) -> list[np.ndarray]
     return out
 
 
+def seeds_of(text: str, part: np.ndarray) -> np.ndarray:
+    """Whether a decimal digit, an at sign or a spelled one stands at each character: every sound span holds one."""
+    out = (part == 1) | (part == 6 + MARKS.index("@"))
+    for x in SEED_AT.finditer(text):
+        out[x.start() + 1] = True
+    return out
+
+
+Stretch = tuple[int, int, int, int, int]  # part, first window, last window, first seed, last seed
+
+
+def merged(stretches: list[Stretch]) -> list[Stretch]:
+    """Stretches of a part that share a window or meet are one."""
+    out: list[Stretch] = []
+    for i, first, last, lo, hi in sorted(stretches):
+        if out and out[-1][0] == i and first <= out[-1][2] + 1:
+            _, f, g, a, b = out.pop()
+            first, last, lo, hi = f, max(g, last), min(a, lo), max(b, hi)
+        out.append((i, first, last, lo, hi))
+    return out
+
+
+def windows_about(i: int, seeds: np.ndarray) -> list[Stretch]:
+    """The stretches of part i that hold all within NEAR characters of a seed."""
+    edge, out = READ - STRIDE, []
+    final = -(-max(1, len(seeds) - edge) // STRIDE) - 1
+    for begin in range(0, len(seeds), PART):
+        at = begin + np.flatnonzero(seeds[begin : begin + PART])
+        if len(at):
+            first, last = np.maximum((at - NEAR - edge) // STRIDE, 0), np.minimum((at + NEAR) // STRIDE, final)
+            ends = [*np.flatnonzero(first[1:] > last[:-1] + 1).tolist(), len(at) - 1]
+            out += [(i, *(int(x) for x in (first[a], last[b], at[a], at[b]))) for a, b in zip([0, *(e + 1 for e in ends)], ends)]
+    return merged(out)
+
+
+def stretch_paths(m: dict[str, np.ndarray], parts: list[np.ndarray], seeds: list[np.ndarray], group: list[tuple[Stretch, int, int]], reach: int, out: list[np.ndarray]) -> list[Stretch]:
+    """Writes the best path about the seeds of each (stretch, its exact scores' start and end); those whose ends are not proven outside."""
+    scores = stretch_scores(m, [parts[own[0]] for own, _, _ in group], [(a, b) for _, a, b in group])
+    tried, open_, runs = [], [], []
+    for j, ((*_, lo, hi), a, b) in enumerate(group):
+        ends = {lo - a, hi - a + reach, *range(CUT, b - a, CUT)}
+        tried += [(j, end) for end in sorted(ends) if reach + (a == 0) <= end < b - a]  # something stands before each
+    for (own, a, b), s, places in zip(group, scores, settled(m["move"], scores, tried, reach)):
+        i, _, _, lo, hi = own
+        cuts = sorted({*places} | ({0} if a == 0 else set()) | ({b - a - 1} if b == len(parts[i]) else set()))
+        if not cuts or cuts[0] > lo - a or cuts[-1] < hi - a:
+            open_.append(own)
+            continue
+        for begin, end in zip(cuts, cuts[1:] or cuts):
+            if seeds[i][a + begin : a + end + 1].any():
+                runs.append((s[begin : end + 1], out[i][a + begin : a + end + 1]))
+    put_paths(m["move"], runs)
+    return open_
+
+
+def seeded_paths(m: dict[str, np.ndarray], parts: list[np.ndarray], seeds: list[np.ndarray]) -> list[np.ndarray]:
+    """The best tag path of each part wherever a run of tags holds a seed; elsewhere it may be left outside.
+
+    A stretch of windows gives exact scores but for characters that a window beside it reads too.  It is cut before its
+    first seed and after its last; where that cannot be proven it takes half its windows more on each side.  A part with
+    a stretch of over PART characters goes by cut_path.
+    """
+    edge = READ - STRIDE
+    out = [np.zeros(len(p), np.int8) for p in parts]
+    final = [-(-max(1, len(p) - edge) // STRIDE) - 1 for p in parts]
+    todo = [x for i, s in enumerate(seeds) for x in windows_about(i, s)]
+    long, reach = set(), NEAR
+    while todo:
+        wider, group, held = [], [], 0
+        for own in todo:
+            i, first, last, _, _ = own
+            a, b = first and first * STRIDE + edge, len(parts[i]) if last == final[i] else (last + 1) * STRIDE
+            if b - a > PART:
+                long.add(i)
+            if i in long:
+                continue
+            if held + b - a > TOGETHER:
+                wider += stretch_paths(m, parts, seeds, group, reach, out)
+                group, held = [], 0
+            group.append((own, a, b))
+            held += b - a
+        wider += stretch_paths(m, parts, seeds, group, reach, out)
+        todo = merged([(i, max(0, f - (g - f + 2) // 2), min(final[i], g + (g - f + 2) // 2), lo, hi) for i, f, g, lo, hi in wider])
+        reach = LEAD
+    for i in long:
+        out[i] = cut_path(m, parts[i])
+    return out
+
+
 def sound(kind: str, item: str) -> bool:
-    """What a span of the kind must hold whatever way it is written."""
+    """What a span of the kind must hold whatever way it is written; seeds_of finds something of each."""
     item = plain_digits(item)
     d = len(only_digits(item))
     if kind == "email":
@@ -648,7 +749,8 @@ def tagged(path: np.ndarray) -> list[tuple[int, int, int]]:
 def network_spans(m: dict[str, np.ndarray], texts: list[str]) -> list[list[Span]]:
     """Sound spans on the best tag path of each whole text."""
     out: list[list[Span]] = [[] for _ in texts]
-    for own, text, path in zip(out, texts, paths(m, [char_classes(t) for t in texts])):
+    parts = [char_classes(t) for t in texts]
+    for own, text, path in zip(out, texts, seeded_paths(m, parts, [seeds_of(t, p) for t, p in zip(texts, parts)])):
         for kind, a, b in tagged(path) if path.any() else ():
             while a < b and not (text[a].isalnum() or text[a] in "+("):
                 a += 1
